@@ -54,7 +54,7 @@ def normalize_phone(df: DataFrame, col: str = "telephone", norm: str = "tel_norm
 def validate_birthdate(df: DataFrame, col: str = "date_naissance",
                        as_of: str | _dt.date | None = None) -> DataFrame:
     """Parse yyyy-MM-dd (unparseable -> NULL); keep only 1920-01-01..as_of."""
-    d = F.try_to_date(F.col(col), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(F.col(col), "yyyy-MM-dd")
     ok = (d >= F.lit(BIRTH_MIN).cast("date")) & (d <= _as_of(as_of))
     return df.withColumn(col, F.when(ok, d))
 
