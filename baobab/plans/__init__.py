@@ -1,6 +1,6 @@
 """Named queries (Spark) and their SQL oracles, registered on import."""
 
-from baobab.plans import cleaning, kpis  # noqa: F401  (registers queries)
+from baobab.plans import cleaning, joins, kpis  # noqa: F401  (registers queries)
 from baobab.plans.base import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

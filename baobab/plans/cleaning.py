@@ -143,3 +143,12 @@ SELECT (SELECT COUNT(*) FROM customers_raw) AS nb_lignes_brutes,
 def quality_report_q(spark, sf_dir):
     """The before/after cleaning report as one row."""
     return quality.cleaning_report(_raw(spark, sf_dir))
+
+
+# Clean customers (C7) as CTEs for other oracles, and the Spark counterpart.
+CLEAN_CUSTOMERS_CTES = _chain(5) + [("customers_clean", SQL_C7)]
+
+
+def customers_clean(w) -> DataFrame:
+    """C7 over the raw export (the de-duplicated dimension used by the joins)."""
+    return clean.clean_customers(M.customers_raw(w), as_of=AS_OF)
