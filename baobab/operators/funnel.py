@@ -61,5 +61,5 @@ def segment_conversion(events: DataFrame, segment: str, digits: int = 2,
     c = funnel_counts(events, [segment]).select(segment, "sessions", "achats")
     c = c.withColumn("taux_global", _rate("achats", "sessions", digits))
     if top is not None:
-        c = c.orderBy(F.col("sessions").desc(), F.col(segment)).limit(top)
+        c = c.orderBy(F.col("sessions").desc(), F.col(segment).asc_nulls_last()).limit(top)
     return c

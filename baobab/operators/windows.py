@@ -46,6 +46,30 @@ def with_previous(df: DataFrame, order_col: str, value_col: str,
     return df.withColumns({prev_col: prev, delta_col: F.col(value_col) - prev})
 
 
+def behind_running_max(df: DataFrame, arrival: str, ts: str, block: int = 1_000_000,
+                       prev_col: str = "max_avant") -> DataFrame:
+    """For each row, the greatest ``ts`` among rows that arrived before it
+    (``arrival`` order), computed exactly without a single-task window.
+
+    Arrivals are cut into blocks of ``block`` consecutive ``arrival`` values
+    (``arrival`` is an integer key). The running maximum inside a block is a window
+    partitioned by block (bounded partitions); the maximum of all earlier blocks
+    comes from the per-block maxima, one row per block, whose prefix maximum is the
+    only unpartitioned window and has ``rows / block`` rows. ``prev_col`` is NULL for
+    the first arrival.
+    """
+    b = F.floor(F.col(arrival) / F.lit(block)).alias("_blk")
+    x = df.withColumn("_blk", b)
+    inner = Window.partitionBy("_blk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_in", F.max(ts).over(inner))
+    per_block = x.groupBy("_blk").agg(F.max(ts).alias("_bmax"))
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_block.select("_blk", F.max("_bmax").over(before).alias("_pre"))
+    out = x.join(prefix, "_blk", "left")
+    best = F.greatest(F.col("_in"), F.col("_pre"))
+    return out.withColumn(prev_col, best).drop("_blk", "_in", "_pre")
+
+
 def share_of_total(df: DataFrame, value_col: str, share_col: str, scale: float = 100.0,
                    digits: int | None = 1) -> DataFrame:
     """``value / sum(value) over ()`` on an already aggregated frame.
