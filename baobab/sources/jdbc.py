@@ -69,15 +69,21 @@ def write_table(
     truncate: bool = True,
     batch_size: int = 10_000,
     num_partitions: int | None = None,
+    column_types: str | None = None,
 ) -> None:
     """Write a frame; ``truncate`` keeps the table definition and grants on overwrite.
 
-    ``num_partitions`` caps concurrent connections to the database.
+    ``num_partitions`` caps concurrent connections to the database;
+    ``column_types`` (e.g. ``"id VARCHAR(4), nom VARCHAR(50)"``) sets the database
+    types used when the table is created (strings otherwise become CLOB/TEXT on
+    some databases, where pushed-down comparisons are not allowed).
     """
     out = df.coalesce(num_partitions) if num_partitions else df
-    (out.write.format("jdbc").options(**_opts(url, driver, user, password))
-        .option("dbtable", table).option("truncate", truncate)
-        .option("batchsize", batch_size).mode(mode).save())
+    w = (out.write.format("jdbc").options(**_opts(url, driver, user, password))
+         .option("dbtable", table).option("truncate", truncate).option("batchsize", batch_size))
+    if column_types:
+        w = w.option("createTableColumnTypes", column_types)
+    w.mode(mode).save()
 
 
 def verify_roundtrip(written: DataFrame, read_back: DataFrame) -> DataFrame:
