@@ -37,11 +37,10 @@ def value_shares(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
 
 def distinct_before_after(df: DataFrame, col: str) -> DataFrame:
     """Distinct values before and after lower(trim()), and the difference."""
-    from baobab.operators.quality import _distinct
-    before = _distinct(df, col)
-    after = _distinct(df, F.lower(F.trim(F.col(col))))
-    return df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
-        before.alias("nb_avant"), after.alias("nb_apres"), (before - after).alias("difference"))
+    from baobab.operators.quality import measure_profile
+    p = measure_profile(df, {"avant": F.col(col), "apres": F.lower(F.trim(F.col(col)))})
+    return p.select(F.col("avant_distinct").alias("nb_avant"), F.col("apres_distinct").alias("nb_apres"),
+                    (F.col("avant_distinct") - F.col("apres_distinct")).alias("difference"))
 
 
 def contains_rate(df: DataFrame, col: str, token: str, digits: int = 2) -> DataFrame:

@@ -43,23 +43,63 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])
 
 
+def measure_profile(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Several distinct/duplicate measures of one table in a single scan.
+
+    Every row is unpivoted to one ``(measure, value)`` pair per measure (values as
+    exact text: ``to_json`` for structs), pairs are counted (partial aggregation,
+    so a dominant value is pre-counted on each mapper), then summarised per
+    measure. Returns one row with, per measure ``m``: ``m_rows``, ``m_nulls``,
+    ``m_distinct`` (non-null values) and ``m_surplus`` (rows beyond the first of
+    each non-null value). Three shuffles, whatever the number of measures.
+    """
+    def text(c: Column) -> Column:
+        return c.cast("string")
+
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("m"), text(c).alias("v")) for name, c in measures.items()
+    ])).alias("p")).select("p.m", "p.v")
+    counted = pairs.groupBy("m", "v").agg(F.count(F.lit(1)).alias("k"))
+    per = counted.groupBy("m").agg(
+        F.sum("k").cast("bigint").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("k"))), F.lit(0)).cast("bigint").alias("nulls"),
+        F.count("v").alias("distinct"),
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k") - 1)), F.lit(0)).cast("bigint").alias("surplus"),
+    )
+    out = []
+    for name in measures:
+        for stat in ("rows", "nulls", "distinct", "surplus"):
+            out.append(F.max(F.when(F.col("m") == name, F.col(stat))).alias(f"{name}_{stat}"))
+    return per.agg(*out)
+
+
+def row_text(cols: list[Column]) -> Column:
+    """An exact, comparable text of a whole row (for duplicate detection)."""
+    return F.to_json(F.struct(*cols))
+
+
 def cleaning_report(raw: DataFrame, email: str = "email", city: str = "ville",
                     key: str = "customer_id") -> DataFrame:
     """Raw rows, missing e-mails (after C1), distinct cities before and after
     normalisation, exact duplicates, duplicates once e-mails are normalised, rows
-    after de-duplication (one per key)."""
+    after de-duplication (one per key) -- one scan of the raw table."""
     norm_cols = [F.lower(F.trim(F.col(c))).alias(c) if c == email else F.col(c) for c in raw.columns]
-    head = raw.agg(
-        F.count(F.lit(1)).alias("nb_lignes_brutes"),
-        F.count(F.when(missing_to_null(email).isNull(), F.lit(1))).alias("nb_emails_manquants"),
-    )
-    return head.select(
-        "nb_lignes_brutes", "nb_emails_manquants",
-        _distinct(raw, city).alias("nb_villes_avant"),
-        _distinct(raw, F.lower(strip_accents(F.trim(F.col(city))))).alias("nb_villes_apres"),
-        surplus_rows(raw).scalar().alias("nb_doublons_exacts"),
-        surplus_rows(raw, norm_cols).scalar().alias("nb_doublons_apres_normalisation"),
-        _distinct(raw, key).alias("nb_lignes_apres"),
+    p = measure_profile(raw, {
+        "email": missing_to_null(email),
+        "ville": F.col(city),
+        "ville_norm": F.lower(strip_accents(F.trim(F.col(city)))),
+        "ligne": row_text([F.col(c) for c in raw.columns]),
+        "ligne_norm": row_text(norm_cols),
+        "cle": F.col(key),
+    })
+    return p.select(
+        F.col("ligne_rows").alias("nb_lignes_brutes"),
+        F.col("email_nulls").alias("nb_emails_manquants"),
+        F.col("ville_distinct").alias("nb_villes_avant"),
+        F.col("ville_norm_distinct").alias("nb_villes_apres"),
+        F.col("ligne_surplus").alias("nb_doublons_exacts"),
+        F.col("ligne_norm_surplus").alias("nb_doublons_apres_normalisation"),
+        F.col("cle_distinct").alias("nb_lignes_apres"),
     )
 
 
@@ -70,13 +110,13 @@ def padded_values(df: DataFrame, col: str) -> DataFrame:
 
 def near_duplicates(df: DataFrame, normalized: dict[str, Column]) -> DataFrame:
     """R2: exact duplicate rows vs rows that only become duplicates once the
-    ``normalized`` columns are normalised."""
-    exact = surplus_rows(df).scalar()
-    cols = [normalized.get(c, F.col(c)) for c in df.columns]
-    after = surplus_rows(df, cols).scalar()
-    return df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
-        "nb_lignes", exact.alias("nb_doublons_exacts"),
-        (after - exact).alias("nb_quasi_doublons"))
+    ``normalized`` columns are normalised (one scan)."""
+    cols = [normalized.get(c, F.col(c)).alias(c) for c in df.columns]
+    p = measure_profile(df, {"ligne": row_text([F.col(c) for c in df.columns]),
+                             "ligne_norm": row_text(cols)})
+    return p.select(F.col("ligne_rows").alias("nb_lignes"),
+                    F.col("ligne_surplus").alias("nb_doublons_exacts"),
+                    (F.col("ligne_norm_surplus") - F.col("ligne_surplus")).alias("nb_quasi_doublons"))
 
 
 def key_concentration(df: DataFrame, key: str, k: int = 10) -> DataFrame:
