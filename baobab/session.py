@@ -55,6 +55,22 @@ def build_session(
     return spark
 
 
+def sizing_conf(input_bytes: int, cores: int, target_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` executor cores.
+
+    Scan splits and post-shuffle partitions both aim at ``target_bytes`` (small
+    enough to sort or hash in executor memory without heavy spilling, large enough
+    to keep task overhead low); the initial shuffle width is at least 2x the cores
+    so every core gets work, and AQE coalesces or splits from there at run time.
+    """
+    by_size = -(-input_bytes // target_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, by_size)),
+    }
+
+
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

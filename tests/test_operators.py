@@ -88,3 +88,17 @@ def test_key_concentration(spark):
     df = spark.createDataFrame(rows, "customer_id long")
     r = quality.key_concentration(df, "customer_id", 2).collect()[0]
     assert (r.cle_dominante, r.nb_lignes_cle, r.part_cle_pct, r.part_top2_pct) == (1, 30, 30.0, 40.0)
+
+
+def test_equal_null_never_matches(spark):
+    df = spark.createDataFrame([(None,), ("a",)], "email string")
+    df.createOrReplaceTempView("t_null")
+    assert spark.sql("SELECT COUNT(*) FROM t_null WHERE email = NULL").collect()[0][0] == 0
+    assert spark.sql("SELECT COUNT(*) FROM t_null WHERE email IS NULL").collect()[0][0] == 1
+
+
+def test_sizing_conf():
+    from baobab.session import sizing_conf
+    c = sizing_conf(100 * 1024 ** 4, cores=8000)  # 100 TB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
+    assert int(sizing_conf(1024, cores=8)["spark.sql.shuffle.partitions"]) == 16
