@@ -42,10 +42,15 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str,
     """
     rk = right_key or left_key
     right_keys = right.select(F.col(rk).alias("_rk"))
-    nonempty = right_keys.exists()
-    has_null = right_keys.where(F.col("_rk").isNull()).exists()
-    kept = anti(left, right_keys, left_key, "_rk")
-    return kept.where(~nonempty | (F.col(left_key).isNotNull() & ~has_null))
+    # One scalar answers both questions: 0 = right side empty, 1 = rows without
+    # NULL, 2 = holds a NULL.
+    mode = right_keys.agg(
+        F.when(F.count(F.lit(1)) == 0, F.lit(0))
+         .when(F.count(F.when(F.col("_rk").isNull(), F.lit(1))) > 0, F.lit(2))
+         .otherwise(F.lit(1))).scalar()
+    # mode picks the rule (referenced once, so the subquery is planned once)
+    keep = F.element_at(F.array(F.lit(True), F.col(left_key).isNotNull(), F.lit(False)), mode + 1)
+    return anti(left.where(keep), right_keys, left_key, "_rk")
 
 
 def anti_by_outer(left: DataFrame, right: DataFrame, left_key: str,

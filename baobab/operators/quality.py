@@ -128,11 +128,11 @@ def key_concentration(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = _count(df)
     top = counts.orderBy(F.col("n").desc(), F.col(key)).limit(k)
-    best = counts.agg(F.max(F.struct(F.col("n"), (-F.col(key)).alias("neg"), F.col(key))).alias("b"))
+    best = top.orderBy(F.col("n").desc(), F.col(key)).limit(1)
     return best.select(
-        F.col(f"b.{key}").alias("cle_dominante"),
-        F.col("b.n").alias("nb_lignes_cle"),
-        F.round(F.lit(100.0) * F.col("b.n") / total, 2).alias("part_cle_pct"),
+        F.col(key).alias("cle_dominante"),
+        F.col("n").alias("nb_lignes_cle"),
+        F.round(F.lit(100.0) * F.col("n") / total, 2).alias("part_cle_pct"),
         F.round(F.lit(100.0) * top.agg(F.sum("n")).scalar() / total, 2).alias(f"part_top{k}_pct"),
     )
 
