@@ -20,14 +20,6 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def _distinct(df: DataFrame, *cols: Column | str) -> Column:
-    """Exact distinct count of non-null values, as its own aggregation."""
-    sel = [F.col(c) if isinstance(c, str) else c for c in cols]
-    g = df.select(*[s.alias(f"_d{i}") for i, s in enumerate(sel)])
-    g = g.dropna().distinct()
-    return g.agg(F.count(F.lit(1))).scalar()
-
-
 def surplus_rows(df: DataFrame, cols: list[Column | str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical group: ``count - count(distinct)``,
     in one aggregation (A36)."""
