@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from baobab.functions.text import words
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores
+    (e.g. one large file with a single row group), so CPU-heavy per-row work runs
+    in parallel. Inputs that are already split are left alone: no extra shuffle at
+    scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def word_counts(texts: DataFrame, col: str = "value") -> DataFrame:
     """A3: lower-case, split on whitespace, drop empty tokens, count per word.
 
@@ -15,7 +24,7 @@ def word_counts(texts: DataFrame, col: str = "value") -> DataFrame:
     aggregation, so very frequent words are pre-counted on every mapper and only
     one row per (mapper, word) is shuffled.
     """
-    w = texts.select(F.explode(words(col)).alias("mot")).where(F.col("mot") != "")
+    w = spread(texts.select(col)).select(F.explode(words(col)).alias("mot")).where(F.col("mot") != "")
     return w.groupBy("mot").agg(F.count(F.lit(1)).alias("n"))
 
 
