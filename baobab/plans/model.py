@@ -84,7 +84,7 @@ def _date_text(start: str, offset: Column) -> Column:
 # --------------------------------------------------------------------------- customers
 def customers_clean_reference(w: Warehouse) -> DataFrame:
     """Master customer reference (no defects), one row per customer."""
-    c = w("customer").select("c_custkey", "c_name", "c_nationkey")
+    c = w("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = w("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = w("region").select("r_regionkey", "r_name")
     k = F.col("c_custkey")
@@ -103,6 +103,7 @@ def customers_clean_reference(w: Warehouse) -> DataFrame:
                  F.col("r_name").alias("region"),
                  _date_text("1958-01-01", (k * F.lit(37)) % F.lit(17500)).alias("date_naissance"),
                  _date_text("2022-01-01", (k * F.lit(13)) % F.lit(1600)).alias("date_inscription"),
+                 F.col("c_acctbal").alias("solde"),
              ))
 
 
@@ -114,8 +115,8 @@ def customers_raw(w: Warehouse) -> DataFrame:
       and padded (41), no TLD (59), 'n/a' (67), 'NULL' (73); phone in four formats
       by k%4, landline when k%100=13, 'abc' (29), NULL (97); city lower-cased
       (k%50=2), padded (4), accented (6, 8, 9); birth date 2031-05-14 (k%200=17),
-      1900-01-01 (91), 'abc' (133), dd/MM/yyyy (151). Customers with k%50=7 are
-      absent from the export (their orders are orphans). Rows with k%300=19 are sent
+      1900-01-01 (91), 'abc' (133), dd/MM/yyyy (151). Accounts in debit (negative
+      balance) are held back from the export, so their orders are orphans. Rows with k%300=19 are sent
       twice, rows with k%500=21 again with an upper-cased e-mail, and rows with
       k%400=33 again with a newer registration and a new e-mail.
     """
@@ -159,7 +160,7 @@ def customers_raw(w: Warehouse) -> DataFrame:
                               F.when(_mod(k, 300) == 19, F.lit(1)),
                               F.when(_mod(k, 500) == 21, F.lit(2)),
                               F.when(_mod(k, 400) == 33, F.lit(3))), lambda v: v.isNotNull())
-    raw = (base.where(m50 != 7)
+    raw = (base.where(F.col("solde") >= 0)
                .select("customer_id", "prenom", nom.alias("nom"), email.alias("email"),
                        phone.alias("telephone"), city.alias("ville"), "region",
                        birth.alias("date_naissance"), "date_inscription",

@@ -33,7 +33,8 @@ SELECT c.c_custkey AS customer_id,
        n.n_name AS ville,
        r.r_name AS region,
        {_date_text('1958-01-01', '(c.c_custkey * 37) % 17500')} AS date_naissance,
-       {_date_text('2022-01-01', '(c.c_custkey * 13) % 1600')} AS date_inscription
+       {_date_text('2022-01-01', '(c.c_custkey * 13) % 1600')} AS date_inscription,
+       c.c_acctbal AS solde
 FROM customer c
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -73,7 +74,7 @@ SELECT customer_id, prenom,
        ELSE date_naissance END AS date_naissance,
   date_inscription
 FROM customers_ref
-WHERE customer_id % 50 <> 7
+WHERE solde >= 0
 """
 
 CUSTOMERS_RAW = """
