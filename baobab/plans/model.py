@@ -116,9 +116,9 @@ def customers_raw(w: Warehouse) -> DataFrame:
       by k%4, landline when k%100=13, 'abc' (29), NULL (97); city lower-cased
       (k%50=2), padded (4), accented (6, 8, 9); birth date 2031-05-14 (k%200=17),
       1900-01-01 (91), 'abc' (133), dd/MM/yyyy (151). Accounts in debit (negative
-      balance) are held back from the export, so their orders are orphans. Rows with k%300=19 are sent
-      twice, rows with k%500=21 again with an upper-cased e-mail, and rows with
-      k%400=33 again with a newer registration and a new e-mail.
+      balance) are held back from the export, so their orders are orphans. Rows
+      with k%300=19 are sent twice, rows with k%500=21 again with an upper-cased
+      e-mail, and rows with k%400=33 again with a newer registration and e-mail.
     """
     base = customers_clean_reference(w)
     k = F.col("customer_id")

@@ -54,3 +54,39 @@ def test_clean_amount_is_digit_stripping(spark, texts):
         d = re.sub(r"[^0-9]", "", t.strip(" "))
         exp.append(int(d) if d and len(d) < 19 else None)
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from(["a", "b", "B "]))),
+                     max_size=30))
+def test_measure_profile_matches_python(spark, rows):
+    from pyspark.sql import functions as F
+
+    from baobab.operators.quality import measure_profile, row_text
+    df = spark.createDataFrame(rows, "k int, s string")
+    p = measure_profile(df, {"s": F.col("s"), "norm": F.lower(F.trim("s")),
+                             "row": row_text([F.col("k"), F.col("s")])}).collect()
+    if not rows:
+        return
+    r = p[0]
+    vals = [s for _, s in rows]
+    assert r.s_rows == len(rows) and r.s_nulls == vals.count(None)
+    assert r.s_distinct == len({v for v in vals if v is not None})
+    assert r.norm_distinct == len({v.strip().lower() for v in vals if v is not None})
+    assert r.row_surplus == len(rows) - len(set(rows))
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 5)), st.text("xyz", max_size=2)),
+                     max_size=30))
+def test_latest_per_key_matches_python(spark, rows):
+    from baobab.operators.windows import latest_per_key
+    df = spark.createDataFrame(rows, "k int, d int, s string")
+    got = {r.k: (r.d, r.s) for r in latest_per_key(df, ["k"], ["d"]).collect()}
+    exp = {}
+    for k, d, s in rows:
+        # greatest (d, s), NULLs lowest
+        cand = ((d is not None, d or 0), s)
+        if k not in exp or cand > exp[k][0]:
+            exp[k] = (cand, (d, s))
+    assert got == {k: v for k, (_, v) in exp.items()}
