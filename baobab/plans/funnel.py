@@ -52,8 +52,22 @@ def funnel_by_device_q(spark, sf_dir):
 
 @query("funnel_by_city", V(_segment_sql("ville", "events_city", 10), "events_city"))
 def funnel_by_city_q(spark, sf_dir):
-    """Conversion per city of the user, top 10 cities by sessions."""
-    return FN.segment_conversion(M.events_with_city(wh(spark, sf_dir)), "ville", top=10)
+    """Conversion per city of the user, top 10 cities by sessions.
+
+    The city is an attribute of the user, so each (user, session) is first reduced
+    to its step flags and only then joined to the user's city: the join sees one
+    row per session instead of one per event."""
+    w = wh(spark, sf_dir)
+    flags = FN.session_flags(M.events_nav(w), ["user_id"])
+    users = (w("customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+             .join(w("nation").select("n_nationkey", F.col("n_name").alias("ville")),
+                   F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("user_id", "ville"))
+    per_city = (flags.join(users, "user_id", "left").groupBy("ville")
+                .agg(F.count(F.lit(1)).alias("sessions"), F.sum("achats").cast("bigint").alias("achats")))
+    rate = F.round(F.try_divide(F.lit(100.0) * F.col("achats"), F.col("sessions").cast("double")), 2)
+    return (per_city.withColumn("taux_global", rate)
+            .orderBy(F.col("sessions").desc(), F.col("ville").asc_nulls_last()).limit(10))
 
 
 _WORDS = r"""
