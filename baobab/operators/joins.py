@@ -37,7 +37,7 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str,
 
     An empty right side keeps every row; otherwise a NULL left key never passes and
     a single NULL on the right empties the result. Written as a hash anti join plus
-    two existence subqueries, so it scales like any anti join (the null-aware plan
+    one scalar subquery (empty? holds a NULL?), so it scales like any anti join (the null-aware plan
     SQL uses for NOT IN needs a broadcastable right side).
     """
     rk = right_key or left_key
