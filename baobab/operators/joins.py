@@ -67,15 +67,16 @@ def anti_by_outer(left: DataFrame, right: DataFrame, left_key: str,
 
 
 def partition_check(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """|semi| + |anti| = |left|, from a single left join against distinct
-    right keys (one pass instead of three counting jobs)."""
+    """|semi| + |anti| = |left|, from one left join of per-key row counts
+    against distinct right keys (one pass instead of three counting jobs)."""
+    per_key = left.groupBy(F.col(key).alias("_lk")).agg(F.count(F.lit(1)).alias("_n"))
     r = right.select(F.col(key).alias("_rk")).distinct().withColumn("_hit", F.lit(1))
-    j = left.select(key).join(r, F.col(key) == F.col("_rk"), "left")
+    j = per_key.join(r, F.col("_lk") == F.col("_rk"), "left")
     hit = F.col("_hit").isNotNull()
     return j.agg(
-        F.count(F.lit(1)).alias("nb_gauche"),
-        F.count(F.when(hit, F.lit(1))).alias("nb_semi"),
-        F.count(F.when(~hit, F.lit(1))).alias("nb_anti"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("nb_gauche"),
+        F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).cast("bigint").alias("nb_semi"),
+        F.coalesce(F.sum(F.when(~hit, F.col("_n"))), F.lit(0)).cast("bigint").alias("nb_anti"),
     ).withColumn("partition_ok", F.col("nb_semi") + F.col("nb_anti") == F.col("nb_gauche"))
 
 
@@ -83,24 +84,31 @@ def join_audit(facts: DataFrame, dim: DataFrame, key: str, measure: str,
                where: Column | None = None) -> DataFrame:
     """What an inner enrichment join does to the facts.
 
-    The dimension is first reduced to ``(key, matches)`` (a partial aggregation),
-    then joined once: every fact row learns how many copies the inner join would
-    produce, without producing them. Reports rows and ``measure`` sums before and
-    after, lost rows (no match) and fan-out rows (extra copies) separately: a net
-    difference can hide losses offset by duplications.
+    Both sides are reduced per key first -- facts to (rows, measure sum), the
+    dimension to its number of matches -- and joined once: every figure of the
+    report is linear in those per-key values, so the inner join's copies are
+    counted without being produced and a hot key is a single row. Reports rows and
+    ``measure`` sums before and after, lost rows (no match) and fan-out rows (extra
+    copies) separately: a net difference can hide losses offset by duplications.
     """
     src = facts.where(where) if where is not None else facts
+    f = src.groupBy(F.col(key).alias("_fk")).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(measure), F.lit(0)).alias("_s"))
     m = dim.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_m"))
-    j = src.select(key, measure).join(m, F.col(key) == F.col("_k"), "left")
-    copies = F.coalesce(F.col("_m"), F.lit(0))
-    v = F.coalesce(F.col(measure), F.lit(0))
+    j = f.join(m, F.col("_fk") == F.col("_k"), "left")
+    c = F.coalesce(F.col("_m"), F.lit(0))
+    n, v = F.col("_n"), F.col("_s")
+
+    def total(e: Column, name: str) -> Column:  # 0, not NULL, on empty facts
+        return F.coalesce(F.sum(e), F.lit(0)).cast("bigint").alias(name)
+
     return j.agg(
-        F.count(F.lit(1)).alias("nb_avant"),
-        F.sum(copies).cast("bigint").alias("nb_apres"),
-        F.count(F.when(copies == 0, F.lit(1))).alias("nb_perdues"),
-        F.sum(F.when(copies > 1, copies - 1).otherwise(F.lit(0))).cast("bigint").alias("nb_dupliquees"),
-        F.sum(v).cast("bigint").alias("somme_avant"),
-        F.sum(v * copies).cast("bigint").alias("somme_apres"),
-        F.sum(F.when(copies == 0, v).otherwise(F.lit(0))).cast("bigint").alias("somme_perdue"),
-        F.sum(F.when(copies > 1, v * (copies - 1)).otherwise(F.lit(0))).cast("bigint").alias("somme_dupliquee"),
+        total(n, "nb_avant"),
+        total(n * c, "nb_apres"),
+        total(F.when(c == 0, n).otherwise(F.lit(0)), "nb_perdues"),
+        total(F.when(c > 1, n * (c - 1)).otherwise(F.lit(0)), "nb_dupliquees"),
+        total(v, "somme_avant"),
+        total(v * c, "somme_apres"),
+        total(F.when(c == 0, v).otherwise(F.lit(0)), "somme_perdue"),
+        total(F.when(c > 1, v * (c - 1)).otherwise(F.lit(0)), "somme_dupliquee"),
     )
