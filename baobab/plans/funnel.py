@@ -59,11 +59,7 @@ def funnel_by_city_q(spark, sf_dir):
     row per session instead of one per event."""
     w = wh(spark, sf_dir)
     flags = FN.session_flags(M.events_nav(w), ["user_id"])
-    users = (w("customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-             .join(w("nation").select("n_nationkey", F.col("n_name").alias("ville")),
-                   F.col("c_nationkey") == F.col("n_nationkey"))
-             .select("user_id", "ville"))
-    per_city = (flags.join(users, "user_id", "left").groupBy("ville")
+    per_city = (flags.join(M.user_cities(w), "user_id", "left").groupBy("ville")
                 .agg(F.count(F.lit(1)).alias("sessions"), F.sum("achats").cast("bigint").alias("achats")))
     rate = F.round(F.try_divide(F.lit(100.0) * F.col("achats"), F.col("sessions").cast("double")), 2)
     return (per_city.withColumn("taux_global", rate)

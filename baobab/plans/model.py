@@ -300,13 +300,11 @@ def events_nav(w: Warehouse) -> DataFrame:
     )
 
 
-def events_with_city(w: Warehouse) -> DataFrame:
-    """Navigation events enriched with the user's city (NULL for unknown users)."""
+def user_cities(w: Warehouse) -> DataFrame:
+    """City of each user (the nation of the customer with the same key)."""
     c = w("customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     n = w("nation").select("n_nationkey", F.col("n_name").alias("ville"))
-    return (events_nav(w).join(c, "user_id", "left")
-            .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .drop("c_nationkey", "n_nationkey"))
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("user_id", "ville")
 
 
 def events_arrivals(w: Warehouse) -> DataFrame:
