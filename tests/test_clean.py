@@ -80,14 +80,14 @@ def test_validate_birthdate(spark):
 
 
 def test_dedup_customers(spark):
-    rows = [("C001", "ancien@ucad.sn", "2025-01-01"), ("C001", "nouveau@ucad.sn", "2026-01-01"),
-            ("C001", "ancien@ucad.sn", "2025-01-01"), ("C002", "autre@ucad.sn", "2026-01-15"),
-            ("C002", "autre@ucad.sn", "2026-01-15"), ("C003", "recent3@ucad.sn", "2026-02-01")]
+    rows = [("C001", "ancien@exemple.sn", "2025-01-01"), ("C001", "nouveau@exemple.sn", "2026-01-01"),
+            ("C001", "ancien@exemple.sn", "2025-01-01"), ("C002", "autre@exemple.sn", "2026-01-15"),
+            ("C002", "autre@exemple.sn", "2026-01-15"), ("C003", "recent3@exemple.sn", "2026-02-01")]
     df = spark.createDataFrame(rows, "customer_id string, email string, date_inscription string")
     out = clean.dedup_customers(df)
-    exp = spark.createDataFrame([("C001", "nouveau@ucad.sn", "2026-01-01"),
-                                 ("C002", "autre@ucad.sn", "2026-01-15"),
-                                 ("C003", "recent3@ucad.sn", "2026-02-01")], df.schema)
+    exp = spark.createDataFrame([("C001", "nouveau@exemple.sn", "2026-01-01"),
+                                 ("C002", "autre@exemple.sn", "2026-01-15"),
+                                 ("C003", "recent3@exemple.sn", "2026-02-01")], df.schema)
     assertDataFrameEqual(out, exp)
 
 
