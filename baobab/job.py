@@ -1,7 +1,7 @@
 """Cluster entry point: run registered queries and write their results.
 
     spark-submit --py-files baobab.zip -m baobab.job \\
-        --input <warehouse dir> --output <shared dir> [--query name ...] [--input-bytes N]
+        --input <warehouse dir> --output <shared dir> [--query name ...] [--input-bytes N] [--stage]
 
 Each result is written as Parquet under ``<output>/<query>``; nothing is collected
 to the driver. ``--input-bytes`` (total input size) sizes shuffle partitions and
@@ -23,11 +23,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--query", action="append", help="query name (repeatable); default: all")
     ap.add_argument("--input-bytes", type=int, default=0)
     ap.add_argument("--cores", type=int, default=0, help="total executor cores (sizing)")
+    ap.add_argument("--stage", action="store_true",
+                    help="write shared intermediates once under <output>/_stage and reuse them")
     args = ap.parse_args(argv)
 
     conf = sizing_conf(args.input_bytes, max(args.cores, 1)) if args.input_bytes else {}
     spark = build_session("baobab-job", conf=conf)
     from baobab.plans import QUERIES
+    from baobab.plans.base import stage_intermediates
+
+    if args.stage:
+        stage_intermediates(args.input, f"{args.output.rstrip('/')}/_stage")
 
     names = args.query or list(QUERIES)
     unknown = [n for n in names if n not in QUERIES]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from baobab.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 from baobab.operators import clean, quality
 from baobab.plans import model as M
-from baobab.plans.base import AS_OF, query, wh
+from baobab.plans.base import AS_OF, query, staged, wh
 from baobab.plans.oracle_model import with_views as V
 
 _MISSING = "('', 'N/A', 'n/a', 'NULL')"
@@ -151,4 +151,4 @@ CLEAN_CUSTOMERS_CTES = _chain(5) + [("customers_clean", SQL_C7)]
 
 def customers_clean(w) -> DataFrame:
     """C7 over the raw export (the de-duplicated dimension used by the joins)."""
-    return clean.clean_customers(M.customers_raw(w), as_of=AS_OF)
+    return staged(w, "customers_clean", lambda: clean.clean_customers(M.customers_raw(w), as_of=AS_OF))
