@@ -91,3 +91,17 @@ def test_staged_intermediates_give_same_results(spark):
         assert sorted(os.listdir(stage)) == ["customers_clean", "orders_clean"]
     finally:
         base._STAGING.pop(SF_SMALL, None)
+
+
+def test_job_runner_writes_results(spark):
+    from baobab import job
+    from baobab.plans import base
+    out = tempfile.mkdtemp(prefix="baobab-job-")
+    try:
+        job.main(["--input", SF_SMALL, "--output", out, "--query", "funnel", "--query", "join_audit",
+                  "--stage"])
+    finally:
+        base._STAGING.pop(SF_SMALL, None)
+    assert spark.read.parquet(f"{out}/funnel").count() == 1
+    assert spark.read.parquet(f"{out}/join_audit").count() == 1
+    assert os.path.isdir(f"{out}/_stage/orders_clean")
