@@ -103,3 +103,16 @@ def compact(spark: SparkSession, src: DataFrame, src_bytes: int, dest: str,
     n = max(1, -(-src_bytes // target_file_bytes))
     src.repartition(n).write.mode("overwrite").parquet(dest)
     return spark.read.parquet(dest)
+
+
+def windowed_session_flags(stream: DataFrame, ts: str, session: str, etype: str,
+                           steps: list[tuple[str, str]], size: str, delay: str) -> DataFrame:
+    """R10 (funnel): per tumbling window and session, a 0/1 flag per funnel step.
+
+    Streaming aggregation has no ``COUNT(DISTINCT)``; keeping one state row per
+    (window, session) and summing the flags per window afterwards gives the exact
+    distinct-session counts per step."""
+    flags = [F.max(F.when(F.col(etype) == t, F.lit(1)).otherwise(F.lit(0))).alias(name)
+             for t, name in steps]
+    return (_event_time(stream, ts).where(F.col(session).isNotNull()).withWatermark(ts, delay)
+                  .groupBy(F.window(ts, size).alias("fenetre"), session).agg(*flags))
