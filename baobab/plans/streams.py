@@ -39,7 +39,7 @@ def stream_dedup_q(spark, sf_dir):
     sw = S.StreamWarehouse(spark, sf_dir)
     dedup = S.dedup_within_watermark(M.payments_raw(sw), "payment_id", "paid_at", "2 hours")
     out = S.run_to_table(spark, dedup, "stream_dedup", LOCAL_FALLBACK)
-    return out.withColumn("paid_at", F.date_format("paid_at", "yyyy-MM-dd HH:mm:ss"))
+    return out.withColumn("paid_at", F.date_format(S.instant_to_ntz(F.col("paid_at")), "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("stream_window_counts", V("""
@@ -51,8 +51,8 @@ def stream_window_counts_q(spark, sf_dir):
     sw = S.StreamWarehouse(spark, sf_dir)
     counts = S.windowed_counts(M.events_nav(sw), "event_time", "event_type", "1 hour", "2 hours")
     out = S.run_upserts(spark, counts, ["fenetre", "event_type"], "stream_window_counts", LOCAL_FALLBACK)
-    return out.select(F.date_format("fenetre.start", "yyyy-MM-dd HH:mm:ss").alias("debut"),
-                      "event_type", "n")
+    return out.select(F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
+                      .alias("debut"), "event_type", "n")
 
 
 @query("compact_events", V("SELECT * FROM events"))
@@ -114,5 +114,6 @@ def stream_window_funnel_q(spark, sf_dir):
                                      STEPS, "1 hour", "2 hours")
     state = S.run_upserts(spark, flags, ["fenetre", "session_id"], "stream_window_funnel", LOCAL_FALLBACK)
     sums = [F.sum(name).cast("bigint").alias(name) for _, name in STEPS]
-    return (state.groupBy(F.date_format("fenetre.start", "yyyy-MM-dd HH:mm:ss").alias("debut"))
+    start = F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
+    return (state.groupBy(start.alias("debut"))
                  .agg(F.count(F.lit(1)).alias("sessions"), *sums))

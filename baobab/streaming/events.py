@@ -13,8 +13,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from baobab.operators.windows import latest_per_key
 from baobab.session import scratch_path
@@ -35,10 +36,27 @@ class StreamWarehouse:
         return r.parquet(self.root)
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c: Column) -> Column:
+    """A wall-clock (NTZ) timestamp read as UTC, whatever the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+
+
+def instant_to_ntz(c: Column) -> Column:
+    """The UTC wall clock of an instant, whatever the session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def _event_time(stream: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need a zoned timestamp: wall-clock NTZ values are read in the
-    session time zone (UTC by default in this library)."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Watermarks and windows need a zoned timestamp. Wall-clock (NTZ) event times
+    are read as UTC, so tumbling windows fall on the data's own hour boundaries in
+    any session time zone; zoned event times are kept."""
+    if isinstance(stream.schema[ts].dataType, TimestampNTZType):
+        return stream.withColumn(ts, ntz_to_instant(F.col(ts)))
+    return stream
 
 
 def dedup_within_watermark(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:

@@ -105,3 +105,17 @@ def test_job_runner_writes_results(spark):
     assert spark.read.parquet(f"{out}/funnel").count() == 1
     assert spark.read.parquet(f"{out}/join_audit").count() == 1
     assert os.path.isdir(f"{out}/_stage/orders_clean")
+
+
+def test_streaming_windows_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as E
+    q = E.queries()["stream_window_counts"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = {}
+        for tz in ("UTC", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got[tz] = sorted(map(tuple, q(spark, SF_SMALL).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got["UTC"] == got["Asia/Kolkata"]
