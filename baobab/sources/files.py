@@ -80,3 +80,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
+                   sort: bool = True, mode: str = "overwrite") -> None:
+    """Save ``df`` as a catalog table bucketed (and sorted) on ``keys``.
+
+    Two tables bucketed on the join key with the same bucket count join without a
+    shuffle (and, sorted, without a sort): e.g. order lines and orders on the order
+    key, the one large-large join of the line-level queries.
+    """
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    w.saveAsTable(table)

@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("baobab-tests", master="local[*]", shuffle_partitions=8)
+    s = build_session("baobab-tests", master="local[*]", shuffle_partitions=8,
+                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="baobab-wh-")})
     # Tests run without a cluster: give the session its own checkpoint folder.
     shared_dir(s, tempfile.mkdtemp(prefix="baobab-ckpt-"))
     yield s

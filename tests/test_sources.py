@@ -119,3 +119,23 @@ def test_streaming_windows_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got["UTC"] == got["Asia/Kolkata"]
+
+
+def test_bucketed_lines_and_orders_join_without_shuffle(spark):
+    from baobab.plans import model as M
+    w = M.Warehouse(spark, SF_SMALL)
+    files.write_bucketed(M.order_items(w), "lignes_b", ["order_id"], 8)
+    files.write_bucketed(M.orders_raw(w).select("order_id", "customer_id", "statut"), "commandes_b",
+                         ["order_id"], 8)
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        j = spark.table("lignes_b").join(spark.table("commandes_b"), "order_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == M.order_items(w).count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
