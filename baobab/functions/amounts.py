@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A well-formed amount text is digits with an optional currency suffix.
-WELL_FORMED_AMOUNT = r"^\s*[0-9]+(\s*FCFA)?\s*$"
+# A well-formed amount text is digits with an optional currency suffix (any case).
+WELL_FORMED_AMOUNT = r"^\s*[0-9]+(\s*(?i:FCFA))?\s*$"
 # A "pure number" (digits with an optional decimal part).
 NUMERIC_TEXT = r"^[0-9]+(\.[0-9]+)?$"
 

@@ -117,7 +117,7 @@ ORDERS_CLEAN = r"""
 SELECT order_id, customer_id, date_commande, statut, canal, frais_livraison_fcfa, priorite,
   TRY_CAST(regexp_replace(trim(montant_total_fcfa), '[^0-9]', '', 'g') AS BIGINT) AS montant_fcfa,
   (montant_total_fcfa IS NOT NULL
-     AND NOT regexp_matches(montant_total_fcfa, '^\s*[0-9]+(\s*FCFA)?\s*$')) AS montant_suspect,
+     AND NOT regexp_matches(montant_total_fcfa, '^\s*[0-9]+(\s*(?i:FCFA))?\s*$')) AS montant_suspect,
   montant_total_fcfa AS montant_raw
 FROM orders_raw
 """

@@ -106,3 +106,10 @@ def test_clean_orders_amounts(spark):
     assert [r.montant_suspect for r in rows] == [False, False, True, True, True, False]
     strict = clean.clean_orders(df, strict=True).collect()
     assert [r.montant_fcfa for r in strict] == [12500, 12500, None, None, None, None]
+
+
+def test_currency_suffix_any_case_is_well_formed(spark):
+    df = spark.createDataFrame([("12500 fcfa",), ("12500 Fcfa",), ("12.500",)], "montant_total_fcfa string")
+    rows = clean.clean_orders(df, strict=True).collect()
+    assert [r.montant_fcfa for r in rows] == [12500, 12500, None]
+    assert [r.montant_suspect for r in rows] == [False, False, True]
