@@ -58,3 +58,20 @@ def test_filter_and_projection_reach_the_scan(spark, Q):
 def test_single_scan_quality_report(spark, Q):
     p = _plan(Q["quality_report"](spark, SF_SMALL))
     assert p.count("FileScan parquet") <= 3 and "Expand" not in p  # customer, nation, region
+
+
+def _ops(df) -> list[str]:
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # operator names only (no attribute ids, aliases or arguments)
+    names = [re.sub(r"^[\s+\-:*()0-9]*", "", line).split(" ")[0].split("(")[0] for line in plan.splitlines()]
+    return [n for n in names if n]
+
+
+def test_sql_and_dataframe_forms_plan_alike(spark, Q):
+    for sql_name, df_name in [("basket_by_channel_sql", "basket_by_channel_df"),
+                              ("status_channel_month_count_sql", "status_channel_month_count_df"),
+                              ("orphan_orders_sql", "orphan_orders_df")]:
+        a, b = _ops(Q[sql_name](spark, SF_SMALL)), _ops(Q[df_name](spark, SF_SMALL))
+        strip = lambda ops: [o for o in ops if o not in ("Project", "Filter")]
+        assert strip(a) == strip(b), (sql_name, a, b)
