@@ -172,7 +172,7 @@ def _etype(col: str) -> str:
 
 EVENTS_NAV = f"""
 SELECT event_id, ts AS event_time, user_id,
-  CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS session_id,
+  user_id * 1000000 + (CAST(ts AS DATE) - DATE '1970-01-01') AS session_id,
   {_etype('event_type')} AS event_type,
   CASE WHEN event_id % 50 < 39 THEN 'mobile' WHEN event_id % 50 < 49 THEN 'desktop'
        ELSE 'tablette' END AS device,
