@@ -1,6 +1,6 @@
 """Cluster entry point: run registered queries and write their results.
 
-    spark-submit --py-files baobab.zip -m baobab.job \\
+    spark-submit --py-files baobab.zip baobab/job.py \\
         --input <warehouse dir> --output <shared dir> [--query name ...] [--input-bytes N] [--stage]
 
 Each result is written as Parquet under ``<output>/<query>``; nothing is collected
@@ -11,9 +11,14 @@ scan splits with :func:`baobab.session.sizing_conf`.
 from __future__ import annotations
 
 import argparse
+import os
+import sys
 import time
 
-from baobab.session import build_session, sizing_conf
+if __package__ in (None, ""):  # run as a script path (spark-submit baobab/job.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from baobab.session import build_session, sizing_conf  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> None:
