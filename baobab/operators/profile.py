@@ -21,7 +21,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     per_value = pairs.groupBy("colonne", "valeur").agg(F.count(F.lit(1)).alias("k"))
     summary = per_value.groupBy("colonne").agg(
         F.sum("k").cast("bigint").alias("nb_lignes"),
-        F.coalesce(F.sum(F.when(F.col("valeur").isNull(), F.col("k"))), F.lit(0)).cast("bigint").alias("nb_null"),
+        F.coalesce(F.sum(F.when(F.col("valeur").isNull(), F.col("k"))), F.lit(0))
+         .cast("bigint").alias("nb_null"),
         F.count("valeur").alias("nb_distinct"),
     )
     type_of = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])

@@ -56,7 +56,8 @@ def measure_profile(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
         F.sum("k").cast("bigint").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("k"))), F.lit(0)).cast("bigint").alias("nulls"),
         F.count("v").alias("distinct"),
-        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k") - 1)), F.lit(0)).cast("bigint").alias("surplus"),
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k") - 1)), F.lit(0))
+         .cast("bigint").alias("surplus"),
     )
     out = []
     for name in measures:
