@@ -7,8 +7,6 @@ equivalent over the same input tables.
 
 from __future__ import annotations
 
-import os
-import tempfile
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,12 +20,10 @@ from baobab.session import scratch_path
 from baobab.sources import files
 from baobab.streaming import events as S
 
-# Used only when the session names no shared folder (local runs and tests).
-LOCAL_FALLBACK = os.path.join(tempfile.gettempdir(), "baobab-shared")
 
 
 def _scratch(spark, name: str) -> str:
-    return scratch_path(spark, name, LOCAL_FALLBACK)
+    return scratch_path(spark, name)
 
 
 @query("stream_dedup", V("""
@@ -38,7 +34,7 @@ def stream_dedup_q(spark, sf_dir):
     """Payments feed as a stream, duplicates dropped within a 2-hour watermark."""
     sw = S.StreamWarehouse(spark, sf_dir)
     dedup = S.dedup_within_watermark(M.payments_raw(sw), "payment_id", "paid_at", "2 hours")
-    out = S.run_to_table(spark, dedup, "stream_dedup", LOCAL_FALLBACK)
+    out = S.run_to_table(spark, dedup, "stream_dedup")
     return out.withColumn("paid_at", F.date_format(S.instant_to_ntz(F.col("paid_at")), "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -50,7 +46,7 @@ def stream_window_counts_q(spark, sf_dir):
     update mode; final state per window)."""
     sw = S.StreamWarehouse(spark, sf_dir)
     counts = S.windowed_counts(M.events_nav(sw), "event_time", "event_type", "1 hour", "2 hours")
-    out = S.run_upserts(spark, counts, ["fenetre", "event_type"], "stream_window_counts", LOCAL_FALLBACK)
+    out = S.run_upserts(spark, counts, ["fenetre", "event_type"], "stream_window_counts")
     return out.select(F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
                       .alias("debut"), "event_type", "n")
 
@@ -112,7 +108,7 @@ def stream_window_funnel_q(spark, sf_dir):
     sw = S.StreamWarehouse(spark, sf_dir)
     flags = S.windowed_session_flags(M.events_nav(sw), "event_time", "session_id", "event_type",
                                      STEPS, "1 hour", "2 hours")
-    state = S.run_upserts(spark, flags, ["fenetre", "session_id"], "stream_window_funnel", LOCAL_FALLBACK)
+    state = S.run_upserts(spark, flags, ["fenetre", "session_id"], "stream_window_funnel")
     sums = [F.sum(name).cast("bigint").alias(name) for _, name in STEPS]
     start = F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
     return (state.groupBy(start.alias("debut"))

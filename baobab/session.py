@@ -2,14 +2,13 @@
 
 The library never hard-codes a machine-local folder: anything that must survive
 executor loss (checkpoints, streaming state, intermediate tables) goes under the
-shared directory the cluster names in ``spark.checkpoint.dir``. Tests run without a
-cluster, so :func:`shared_dir` falls back to a caller-supplied folder only when the
-setting is absent.
+shared directory the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -71,26 +70,29 @@ def sizing_conf(input_bytes: int, cores: int, target_bytes: int = 256 * 1024 * 1
     }
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    When the session has none (local tests), ``fallback`` is installed as the
-    checkpoint directory and returned. On a cluster the setting must be present;
-    a missing one with no fallback is an error rather than a silent local folder.
+    On a cluster a missing setting is an error. In local mode (``local[...]``: one
+    process, so its own disk is what the executors share) a temporary folder is set
+    where the session names none, as in tests.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    if fallback is None:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; configure a shared folder for the cluster")
-    os.makedirs(fallback, exist_ok=True)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    return set_shared_dir(spark, tempfile.mkdtemp(prefix="baobab-"))
 
 
-def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
+def set_shared_dir(spark: SparkSession, path: str) -> str:
+    """Use ``path`` as the shared folder of this session."""
+    spark.conf.set("spark.checkpoint.dir", path)
+    spark.sparkContext.setCheckpointDir(path)
+    return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared directory for one job's output."""
-    base = shared_dir(spark, fallback)
+    base = shared_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

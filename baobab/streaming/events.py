@@ -73,11 +73,11 @@ def windowed_counts(stream: DataFrame, ts: str, group: str, size: str, delay: st
                   .agg(F.count(F.lit(1)).alias("n")))
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str, fallback: str | None = None,
+def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
                  timeout_s: int = 3600) -> DataFrame:
     """Append a stream to parquet files until the input available now is consumed;
     return the written table as a batch frame."""
-    base = scratch_path(spark, name, fallback)
+    base = scratch_path(spark, name)
     q = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data")
          .trigger(availableNow=True).start())
@@ -88,11 +88,11 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, fallback: st
 
 
 def run_upserts(spark: SparkSession, stream: DataFrame, keys: list[str], name: str,
-                fallback: str | None = None, timeout_s: int = 3600) -> DataFrame:
+                timeout_s: int = 3600) -> DataFrame:
     """Run an aggregating stream in update mode; each micro-batch is written to its
     own folder (idempotent on batch replay); the current state of every key is its
     row from the latest batch."""
-    base = scratch_path(spark, name, fallback)
+    base = scratch_path(spark, name)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite") \
