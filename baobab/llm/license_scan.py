@@ -111,8 +111,10 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str, bo
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"), F.max("coverage").alias("score"),
         F.array_sort(F.collect_list(F.struct("first", "last", "label", "coverage"))).alias("spans"))
     n_words, key, *own = fresh(docs, "n_words", "text_key", *names)
-    rows = docs.withColumn(n_words, count_alnum_words(F.col(text)))
-    rows = rows.join(per_text.toDF(key, *own), text_key(F.col(text)) == F.col(key), "left").drop(key)
+    # The key is a column before the join, so that texts nobody asks for aren't shuffled.
+    own_key = fresh(docs, "own_key")[0]
+    rows = docs.withColumns({n_words: count_alnum_words(F.col(text)), own_key: text_key(F.col(text))})
+    rows = rows.join(per_text.toDF(key, *own), F.col(own_key) == F.col(key), "left").drop(own_key, key)
     empty = {"n_base": F.lit(0).cast("bigint"), "base_labels": F.lit(""), "labels": F.lit(""), "score": F.lit(0.0),
              "spans": F.array().cast("array<struct<first:int,last:int,label:string,coverage:double>>")}
     return rows.withColumns({o: F.coalesce(F.col(o), empty[n]) for n, o in zip(names, own) if n in empty})
