@@ -119,8 +119,10 @@ def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
     """
     base, spans, key = fresh(docs, "base", "spans", "text_key")
     weak = linked_parts(docs, text, scope).toDF(key, spans)
-    rows = docs.withColumn(base, base_spans(whole(F.col(text))))
-    rows = rows.join(weak, text_key(F.col(text)) == F.col(key), "left").drop(key)
+    # The key is a column before the join, so that texts nobody asks for aren't shuffled.
+    own = fresh(docs, "own_key")[0]
+    rows = docs.withColumns({base: base_spans(whole(F.col(text))), own: text_key(F.col(text))})
+    rows = rows.join(weak, F.col(own) == F.col(key), "left").drop(own, key)
     return rows.withColumn(spans, F.when(F.col(spans).isNull(), F.col(base))
                            .otherwise(F.array_sort(F.concat(F.col(base), F.col(spans)))))
 
