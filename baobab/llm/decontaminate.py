@@ -108,8 +108,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text: str = "t
     n_words, n_hit, items, hits, contaminated, key = fresh(
         docs, "n_words", "n_hit", "items", "hits", "contaminated", "text_key")
     found = find_hits(docs, benchmark, size, text, item_id, item_text, max_broadcast).toDF(key, n_hit, items, hits)
-    rows = docs.withColumn(n_words, count_alnum_words(F.col(text)))
-    rows = rows.join(found, text_key(F.col(text)) == F.col(key), "left").drop(key)
+    # The key is a column before the join, so that texts nobody asks for aren't shuffled.
+    own = fresh(docs, "own_key")[0]
+    rows = docs.withColumns({n_words: count_alnum_words(F.col(text)), own: text_key(F.col(text))})
+    rows = rows.join(found, F.col(own) == F.col(key), "left").drop(own, key)
     rows = (rows.withColumn(n_hit, F.coalesce(n_hit, F.lit(0).cast("bigint")))
             .withColumn(items, F.coalesce(items, F.array().cast("array<string>")))
             .withColumn(hits, F.coalesce(hits, F.array().cast("array<struct<at:int,n:int>>"))))
