@@ -217,7 +217,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
             max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) of every document: one row per row of ``docs``.
+    """(doc_id, text_hash, fp, root, component_id) of every document: one row per row of
+    ``docs``; ``root`` is the component's least fingerprint.
 
     component_id is the smallest id reachable over links of at most ``max_bits`` bits
     (null only if no document of the component has an id). Null and empty texts have
@@ -231,8 +232,8 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = materialized(rooted.join(smallest, "root").select("fp", "component_id"), "simhash_labels")
-    return slim.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    labels = materialized(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash_labels")
+    return slim.join(labels, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -246,10 +247,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """
     found = cluster(docs, doc_id, text, **options)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    # A component without any id is one class of fingerprints at least: its key is the fingerprint.
-    key = F.when(F.col("component_id").isNull(), F.col("fp"))
-    winners = (found.groupBy("component_id", key.alias("no_id")).agg(F.min(first).alias("w"))
-               .select(F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash")).distinct())
+    winners = found.groupBy("root").agg(F.min(first).alias("w")).select(
+        F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash"))
     w_id, w_hash = fresh(docs, "w_id", "w_hash")
     winners = materialized(winners.toDF(w_id, w_hash), "simhash_winners")
     kept = docs.join(winners, F.col(doc_id).eqNullSafe(F.col(w_id)) & (F.xxhash64(F.col(text)) == F.col(w_hash)))
