@@ -2,7 +2,7 @@
 
 Evidence of a document: naive Bayes over the words it holds and bins of a few shape
 measures, fitted on at most ``SAMPLE`` labelled documents (a hash sample of the
-labelled rows), the ``FEATURES`` features with the strongest association kept, and
+labelled rows), the ``FEATURES`` features with the surest association kept, and
 calibrated by a logistic fit on the quarter of the sample left out of the counts.
 
 Prior of a document: the labelled share of its host and of its path. Counts of all
@@ -30,6 +30,7 @@ from baobab.llm._text import materialized
 SAMPLE = 20_000
 FEATURES = 2_000
 MIN_COUNT = 3
+MIN_Z = 3.3  # rare words associated by chance stay out
 MAX_WORD = 24
 MAX_EVIDENCE = 8.0
 MAX_STRENGTH = 1000.0
@@ -91,8 +92,9 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_fea
     if not n0 or not n1:  # one class or no labels: no evidence
         return {"weights": {}, "slope": 0.0, "shift": 0.0}
     ratio = F.log((F.col("n1") + 0.5) / (n1 + 1.0)) - F.log((F.col("n0") + 0.5) / (n0 + 1.0))
-    best = (sums.where(F.col("f") != F.lit(b"\0all")).select("f", ratio.alias("w"), (F.col("n0") + F.col("n1")).alias("n"))
-            .orderBy(F.desc(F.abs("w") * F.sqrt("n")), "f").limit(n_features).collect())
+    error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    best = (sums.where(F.col("f") != F.lit(b"\0all")).select("f", ratio.alias("w"), F.abs(ratio / error).alias("z"))
+            .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "f").limit(n_features).collect())
     model = {"weights": {bytes(r["f"]): r["w"] for r in best}, "slope": 1.0, "shift": 0.0}
     scored = score(rows.where("held").select("doc_id", "text", "y"), {"s": model}).select("s", "y").collect()
     x, y = (np.array([r[i] for r in scored], float) for i in (0, 1))
