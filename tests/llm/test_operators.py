@@ -1,0 +1,343 @@
+"""Operators against brute force, and the stated results of odd inputs."""
+
+import hashlib
+import math
+import random
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from baobab.llm import (decontaminate, license_scan, mixing, preferences, quality_classifier, quality_rules,
+                        secret_scan, sharding, simhash, substring_dedup)
+from baobab.llm._text import SPACE_WORD
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACE = re.compile(SPACE_WORD)
+NOTICE = ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+          "granted, provided that the above copyright notice and this permission notice appear in all copies")
+ODD = [
+    (1, "CC BY all rights reserved; GNU General Public License. cc-by", "en", "a", 1),
+    (1, "CC BY all rights reserved; GNU General Public License. cc-by", "en", "a", 1),
+    (2, None, None, None, None), (3, "", "en", "a", 0), (None, "no id here", "en", None, 3), (None, None, None, None, None),
+    (4, "é password = hunter22 token:abc AKIA" + "A" * 16 + " " + "0af" * 9 + " api_key='zz' password=token:abcdef user: bob", "fr", "b", 9),
+    (5, "user=alice pwd: hello host=db.example.com", "en", "b", 1), (6, "see https://only.url/here", "en", "c", 1),
+    (7, "x " * 30_000 + "end", "en", "c", 1), (8, NOTICE.upper(), "en", "d", 1),
+    (9, "\t\x0b mixed\x1cspace  words\x85 \n\n line\n line\n", "zz", "e", 2),
+]
+
+
+def ascii_lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def key(row):
+    return str(tuple(row))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    odd = spark.createDataFrame(ODD, DOCS)
+    given = spark.read.parquet(f"{SF}/documents.parquet").select(odd.columns).withColumn("doc_id", F.col("doc_id") + 1000)
+    clash = spark.createDataFrame([(1, "another text under an id that is taken", "en", "a", 1)], DOCS)
+    # Columns that operators use for themselves.
+    return odd.unionByName(clash).unionByName(given).withColumns({c: F.lit("mine") for c in ("n_words", "items", "copies", "key", "size", "kept", "fp")})
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return docs.collect()
+
+
+def same(got, want):
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_license_base_columns(docs, rows):
+    def of(r):
+        w, found = ALNUM.findall(ascii_lower(r.text)), []
+        for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+            p = phrase.split()
+            found += [(i, label) for i in range(len(w)) if w[i:i + len(p)] == p]
+        at = [i for i, _ in found]
+        return r.doc_id, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found}))
+
+    got = license_scan.digest(docs).collect()
+    same([tuple(r)[:6] for r in got], [of(r) for r in rows])
+    assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+    notice = next(r for r in got if r.doc_id == 8)
+    assert notice.labels == "isc" and 0.8 <= notice.score < 1  # one word of the template is missing
+
+
+def test_shards_are_even_and_moves_are_few(spark, docs):
+    names = [f"s{i}" for i in range(20)]
+    table = sharding.fill_table(names)
+    counts = [table.count(i) for i in range(20)]
+    assert max(counts) - min(counts) <= 1
+    fewer = sharding.fill_table(names[:-1])
+    assert sum(a != b for a, b in zip(table, fewer) if a != 19) < 0.1 * len(table)
+
+    def slot(r):
+        name = str(r.doc_id) if r.doc_id is not None else "t" + (r.text or "")
+        return int(hashlib.md5(name.encode()).hexdigest()[:15], 16) % sharding.TABLE_SIZE
+
+    got = sharding.place(docs, names)
+    assert got.columns == [*docs.columns, "shard"]
+    same([(r.doc_id, r.text, r.shard) for r in got.collect()], [(r.doc_id, r.text, table[slot(r)]) for r in docs.collect()])
+    with pytest.raises(ValueError):
+        sharding.fill_table(names, 100)
+
+
+@pytest.mark.parametrize("bound", [decontaminate.MAX_BROADCAST, 0])
+def test_decontamination(spark, docs, rows, bound):
+    bench = spark.createDataFrame([(500, "and the"), (501, "AND The"), (502, None), (None, "x x x"), (503, "!"), (504, "mixed")],
+                                  "item_id long, text string")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").unionByName(bench)
+    windows = {}
+    for r in bench.collect():
+        w = ALNUM.findall(ascii_lower(r.text))
+        if w and r.item_id is not None:
+            n = min(13, len(w))
+            for i in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[i:i + n]), set()).add(str(r.item_id))
+    lengths = {len(w) for w in windows}
+
+    def of(r):
+        w, hit, items = ALNUM.findall(ascii_lower(r.text)), set(), set()
+        for i in range(len(w)):
+            for n in lengths:
+                if tuple(w[i:i + n]) in windows and i + n <= len(w):
+                    hit |= set(range(i, i + n))
+                    items |= windows[tuple(w[i:i + n])]
+        return r.doc_id, len(w), len(hit), sorted(items), bool(hit) and 20 * len(hit) >= len(w)
+
+    got = decontaminate.scan(docs.select("doc_id", "text"), bench, max_broadcast=bound)
+    want = [of(r) for r in rows]
+    same([(r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in got.collect()], want)
+    assert decontaminate.drop_documents(docs, bench, max_broadcast=bound).count() == sum(not w[-1] for w in want)
+
+
+def test_cutting_spans(spark):
+    docs = spark.createDataFrame([(1, "Keep, this. A B-c! tail."), (2, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert {r.text for r in decontaminate.cut_spans(docs, bench).collect()} == {"Keep, this! tail.", "nothing"}
+
+
+def test_secret_base_spans(docs, rows):
+    def of(r):
+        t, found = r.text or "", []
+        for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t):
+            found += [(m.start(), 0, m.end())] if len(m[2]) >= 6 else []
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        text = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+        return r.doc_id, *(sum(x[1] == k for x in found) for k in range(3)), hashlib.sha256(text.encode()).hexdigest()
+
+    got = secret_scan.digest(docs).collect()
+    same([tuple(r)[:5] for r in got], [of(r) for r in rows])
+
+
+def test_weak_parts_need_each_other(docs):
+    spans = {r.doc_id: r.spans for r in secret_scan.digest(docs).collect()}
+    assert spans[5] == "identifier:0:10,secret:11:21,endpoint:22:41"
+    assert spans[6] == "" and "identifier" in spans[4]
+    far = {r.doc_id: r.spans for r in secret_scan.digest(
+        docs.select(F.lit(1).cast("long").alias("doc_id"), F.lit("user=alice " + "x " * 200 + "pwd: hello").alias("text")).limit(1)).collect()}
+    assert far == {1: ""}
+
+
+def test_simhash_components(docs, rows):
+    def fp(t):
+        w = SPACE.findall(ascii_lower(t))
+        grams = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps = sorted({fp(r.text) for r in rows})
+    group = {f: f for f in fps}
+    for _ in fps:
+        before = dict(group)
+        for a in fps:
+            for b in fps:
+                if (a ^ b).bit_count() <= 3:
+                    group[a] = group[b] = min(group[a], group[b])
+        if before == group:
+            break
+    least = {}
+    for r in rows:
+        if r.doc_id is not None:
+            g = group[fp(r.text)]
+            least[g] = min(least.get(g, r.doc_id), r.doc_id)
+    same([tuple(r) for r in simhash.digest(docs).collect()],
+         [(r.doc_id, f"{fp(r.text):016x}", least.get(group[fp(r.text)])) for r in rows])
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(group.values()))
+
+
+def test_simhash_splits_large_keys(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rnd = random.Random(5)
+    base = [rnd.getrandbits(64) for _ in range(4)]
+    fps = sorted({b ^ sum(1 << x for x in rnd.sample(range(64), rnd.randint(0, 3))) for b in base for _ in range(60)})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    roots = {r.node: r.root for r in simhash.components(edges).collect()}
+    group = {f: f for f in signed}
+    for _ in signed:
+        before = dict(group)
+        for a in signed:
+            for b in signed:
+                if (a ^ b).bit_count() <= 3 if (a < 0) == (b < 0) else ((a ^ b) & (1 << 64) - 1).bit_count() <= 3:
+                    group[a] = group[b] = min(group[a], group[b])
+        if before == group:
+            break
+    assert {f: roots.get(f, f) for f in signed} == group
+
+
+def test_mixing_targets_and_reruns(docs):
+    first = mixing.mix_table(docs).collect()
+    same(first, mixing.mix_table(docs).collect())
+    same([(r.doc_id, r.size) for r in first], [(r.doc_id, len(SPACE.findall(r.text or ""))) for r in docs.collect()])
+    by = {}
+    for r in first:
+        by.setdefault((r.source_size, r.target), []).append(r)
+    for (size, target), group in by.items():
+        ties = 2 * max(r.size for r in group)  # a document and its repeated row are drawn together
+        assert 0 <= target <= 2 * size and abs(sum(r.taken for r in group) - target) <= ties
+        assert all(r.taken <= 2 * r.size for r in group)
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    words = sum(len(SPACE.findall(r.text or "")) for r in mixed.collect())
+    assert words == sum(r.taken for r in first)
+
+
+def test_mixing_targets_by_hand(spark):
+    sizes = spark.createDataFrame([("a", 100), ("b", 1000), ("c", 10_000), (None, 900)], "source string, source_size long")
+    weights, caps, total = {"a": 5.0, "b": 2.0, "c": 1.0, None: 5.0}, {"a": 200, "b": 2000, "c": 20_000, None: 1800}, 18_000.0
+    want, open_ = {}, dict(weights)
+    while open_:
+        rate = (total - sum(want.values())) / sum(open_.values())
+        over = [s for s in open_ if rate * open_[s] >= caps[s]]
+        for s in over:
+            want[s] = caps[s]
+            del open_[s]
+        if not over:
+            want |= {s: rate * w for s, w in open_.items()}
+            break
+    got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[s], want[s]) for s in want)
+
+
+def test_quality_base_counts(docs, rows):
+    def of(r):
+        t = r.text or ""
+        w, seen, dup = SPACE.findall(t), set(), 0
+        for line in t.split("\n"):
+            if SPACE.search(line):
+                dup += line in seen
+                seen.add(line)
+        grams, hit = [tuple(w[i:i + 8]) for i in range(len(w) - 7)], set()
+        count = {}
+        for g in grams:
+            count[g] = count.get(g, 0) + 1
+        for i, g in enumerate(grams):
+            if count[g] > 1:
+                hit |= set(range(i, i + 8))
+        return r.doc_id, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)
+
+    got = quality_rules.digest(docs).collect()
+    same([tuple(r)[:7] for r in got], [of(r) for r in rows])
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_quality_rules_keep_good_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.digest(docs).join(labels, "doc_id").where("not base_failed").collect()
+    good = [r.kept for r in got if r.quality == 1]
+    junk = [r.kept for r in got if r.quality == 0]
+    assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.3 * len(junk)
+
+
+def test_classifier_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_classifier.digest(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    right = [(r.p_quality >= 0.5) == (r.quality == 1) for r in got]
+    clean = [r.kept for r in got if r.quality == 1 and r.toxic == 0]
+    toxic = [r.p_toxic >= 0.5 for r in got if r.toxic == 1 and r.quality == 1]
+    assert sum(right) >= 0.93 * len(right) and sum(clean) >= 0.95 * len(clean) and sum(toxic) >= 0.6 * len(toxic)
+
+
+def test_classifier_without_labels_and_odd_rows(spark, docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = quality_classifier.digest(docs, labels).collect()
+    assert len(got) == docs.count() and {round(r.p_quality, 6) for r in got} == {0.5}
+
+
+def test_preferences(spark):
+    t = "pair_id long, turn long, role string, text string"
+    chosen = spark.createDataFrame([(1, 0, "user", "hi <|x"), (1, 1, "assistant", "yo"), (2, 0, "user", "a"), (None, 0, None, None)], t)
+    rejected = spark.createDataFrame([(1, 0, "user", "hi <|x"), (1, 1, "assistant", "no"), (3, 0, "user", "b")], t)
+    got = {r.pair_id: r for r in preferences.format_pairs(chosen, rejected).collect()}
+    one = got[1]
+    assert one.prompt == "<|user|>\nhi < |x<|end|>\n" and one.n_prompt_turns == 1 and one.usable
+    for side in ("chosen", "rejected"):
+        (span,) = one[f"{side}_mask"]
+        assert (one.prompt + one[side])[span.start:span.end] == ("yo" if side == "chosen" else "no") + "<|end|>\n"
+    assert not got[2].usable and got[2].rejected == "" and got[3].chosen == "" and got[None].n_prompt_turns == 0
+
+
+def test_compact_windows():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        v = rng.integers(1, 40, rng.integers(0, 80)).astype(np.uint64)
+        v[rng.random(len(v)) < 0.03] = 0
+        width, want = int(rng.integers(2, 9)), set()
+        for c in range(len(v)):
+            left = right = c
+            while left > 0 and v[left - 1] > v[c]:
+                left -= 1
+            while right + 1 < len(v) and v[right + 1] >= v[c]:
+                right += 1
+            if v[c] and right - left + 1 >= width:
+                want.add((c, left, right))
+        assert set(zip(*(x.tolist() for x in substring_dedup.compact_windows(v, width)))) == want
+
+
+def test_repeated_passages(spark):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [rnd.choices(words, k=rnd.randint(60, 500)) for _ in range(120)]
+    planted, free = set(), rnd.sample(range(120), 120)
+    for _ in range(15):
+        passage = rnd.choices(words, k=rnd.randint(55, 120))
+        for i in [free.pop() for _ in range(rnd.randint(2, 4))]:
+            near = list(passage)
+            if len(near) > 80:
+                near[rnd.randrange(len(near))] = "other"
+            at = rnd.randrange(len(texts[i]))
+            texts[i][at:at] = near
+            planted.add(i)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(500, " ".join(texts[0])), (501, None), (502, ""), (None, "x")]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == planted | {0, 500}
+    assert all(r.n_words >= 50 and r.match_id != r.doc_id and r.similarity >= 0.8 for r in got)
+
+
+EMPTY = {
+    "license": lambda d, s: license_scan.digest(d), "sharding": lambda d, s: sharding.place(d, ["a", "b"], 7),
+    "decontaminate": lambda d, s: decontaminate.digest(d, d.selectExpr("doc_id item_id", "text")),
+    "secrets": lambda d, s: secret_scan.digest(d), "passages": lambda d, s: substring_dedup.repeated_passages(d),
+    "simhash": lambda d, s: simhash.digest(d), "dedup": lambda d, s: simhash.deduplicate(d),
+    "mix": lambda d, s: mixing.mix_table(d), "mixed": lambda d, s: mixing.mixed(d), "rules": lambda d, s: quality_rules.digest(d),
+    "preferences": lambda d, s: preferences.digest(d.selectExpr("doc_id conv_id", "doc_id turn", "lang role", "text")),
+    "classifier": lambda d, s: quality_classifier.digest(d, d.selectExpr("doc_id", "1 quality", "0 toxic")),
+}
+
+
+@pytest.mark.parametrize("name", EMPTY)
+def test_empty_tables(spark, name):
+    assert EMPTY[name](spark.createDataFrame([], DOCS), spark).count() == 0
