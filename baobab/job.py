@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
 
     conf = sizing_conf(args.input_bytes, max(args.cores, 1)) if args.input_bytes else {}
     spark = build_session("baobab-job", conf=conf)
+    if not spark.conf.get("spark.checkpoint.dir", None):  # the output folder is shared as well
+        spark.sparkContext.setCheckpointDir(f"{args.output.rstrip('/')}/_shared")
     from baobab.plans import QUERIES
     from baobab.plans.base import stage_intermediates
 

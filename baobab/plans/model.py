@@ -59,6 +59,10 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
 
 
+# Added to the customer number of orders whose customer is unknown.
+ORPHAN_SHIFT = 1_000_000_000_000
+
+
 def _mod(c: Column | str, m: int) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return col % F.lit(m)
@@ -84,14 +88,14 @@ def _date_text(start: str, offset: Column) -> Column:
 # --------------------------------------------------------------------------- customers
 def customers_clean_reference(w: Warehouse) -> DataFrame:
     """Master customer reference (no defects), one row per customer."""
-    c = w("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    c = w("customer").select("c_custkey", "c_name", "c_nationkey")
     n = w("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = w("region").select("r_regionkey", "r_name")
     k = F.col("c_custkey")
     prefix = _case_list(k, MOBILE_PREFIXES)
     suffix = F.lpad(_s((k * F.lit(7919)) % F.lit(10_000_000)), 7, "0")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-             .join(r, n.n_regionkey == r.r_regionkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
+             .join(r, n.n_regionkey == r.r_regionkey, "left")
              .select(
                  k.alias("customer_id"),
                  F.substring_index("c_name", "#", 1).alias("prenom"),
@@ -103,7 +107,6 @@ def customers_clean_reference(w: Warehouse) -> DataFrame:
                  F.col("r_name").alias("region"),
                  _date_text("1958-01-01", (k * F.lit(37)) % F.lit(17500)).alias("date_naissance"),
                  _date_text("2022-01-01", (k * F.lit(13)) % F.lit(1600)).alias("date_inscription"),
-                 F.col("c_acctbal").alias("solde"),
              ))
 
 
@@ -115,8 +118,7 @@ def customers_raw(w: Warehouse) -> DataFrame:
       and padded (41), no TLD (59), 'n/a' (67), 'NULL' (73); phone in four formats
       by k%4, landline when k%100=13, 'abc' (29), NULL (97); city lower-cased
       (k%50=2), padded (4), accented (6, 8, 9); birth date 2031-05-14 (k%200=17),
-      1900-01-01 (91), 'abc' (133), dd/MM/yyyy (151). Accounts in debit (negative
-      balance) are held back from the export, so their orders are orphans. Rows
+      1900-01-01 (91), 'abc' (133), dd/MM/yyyy (151). Every customer is exported. Rows
       with k%300=19 are sent twice, rows with k%500=21 again with an upper-cased
       e-mail, and rows with k%400=33 again with a newer registration and e-mail.
     """
@@ -160,8 +162,7 @@ def customers_raw(w: Warehouse) -> DataFrame:
                               F.when(_mod(k, 300) == 19, F.lit(1)),
                               F.when(_mod(k, 500) == 21, F.lit(2)),
                               F.when(_mod(k, 400) == 33, F.lit(3))), lambda v: v.isNotNull())
-    raw = (base.where(F.col("solde") >= 0)
-               .select("customer_id", "prenom", nom.alias("nom"), email.alias("email"),
+    raw = (base.select("customer_id", "prenom", nom.alias("nom"), email.alias("email"),
                        phone.alias("telephone"), city.alias("ville"), "region",
                        birth.alias("date_naissance"), "date_inscription",
                        F.explode(copies).alias("_copy")))
@@ -190,7 +191,9 @@ def amount_of(totalprice: Column) -> Column:
 
 def orders_raw(w: Warehouse) -> DataFrame:
     """Orders export: amount as text; ' FCFA' suffix when k%100=0, ' fcfa' when
-    k%1000=250, a spurious '.00' decimal part when k%1000=625 (k = order_id)."""
+    k%1000=250, a spurious '.00' decimal part when k%1000=625 (k = order_id). Orphans:
+    the customer number is shifted by ``ORPHAN_SHIFT`` when k%12=5 and for every order
+    of customers with number%97=13, who so have no order of their own."""
     o = w("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                            "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
@@ -201,7 +204,8 @@ def orders_raw(w: Warehouse) -> DataFrame:
              .otherwise(amt))
     return o.select(
         k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        F.when((_mod(k, 12) == 5) | (_mod("o_custkey", 97) == 13), F.col("o_custkey") + F.lit(ORPHAN_SHIFT))
+         .otherwise(F.col("o_custkey")).alias("customer_id"),
         F.col("o_orderdate").alias("date_commande"),
         status_of(F.col("o_orderstatus"), k).alias("statut"),
         F.when(F.col("o_orderpriority").isin(*MOBILE_CHANNEL_PRIORITIES), F.lit("mobile_app"))
@@ -246,7 +250,7 @@ def payment_method(priority: Column) -> Column:
 
 
 def payments_raw(w: Warehouse) -> DataFrame:
-    """Payments feed for every non-cancelled order ('P' status excluded).
+    """Payments feed for every order that isn't cancelled (returned ones were paid).
 
     Defects (k = order_id): status spelling by k%20; negative amount when
     k%1000=7; half amount when k%200=3; unknown order_id (k + 10^12) when k%300=5;
@@ -263,7 +267,7 @@ def payments_raw(w: Warehouse) -> DataFrame:
     status = F.lit(PAYMENT_STATUS_RULE[-1][1])
     for bound, label in reversed(PAYMENT_STATUS_RULE[:-1]):
         status = F.when(m20 < bound, F.lit(label)).otherwise(status)
-    base = o.where(F.col("o_orderstatus") != "P").select(
+    base = o.where(status_of(F.col("o_orderstatus"), k) != CANCELLED).select(
         k.alias("payment_id"),
         F.when(_mod(k, 300) == 5, k + F.lit(1_000_000_000_000)).otherwise(k).alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -306,7 +310,7 @@ def user_cities(w: Warehouse) -> DataFrame:
     """City of each user (the nation of the customer with the same key)."""
     c = w("customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     n = w("nation").select("n_nationkey", F.col("n_name").alias("ville"))
-    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("user_id", "ville")
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("user_id", "ville")
 
 
 def events_arrivals(w: Warehouse) -> DataFrame:

@@ -33,11 +33,10 @@ SELECT c.c_custkey AS customer_id,
        n.n_name AS ville,
        r.r_name AS region,
        {_date_text('1958-01-01', '(c.c_custkey * 37) % 17500')} AS date_naissance,
-       {_date_text('2022-01-01', '(c.c_custkey * 13) % 1600')} AS date_inscription,
-       c.c_acctbal AS solde
+       {_date_text('2022-01-01', '(c.c_custkey * 13) % 1600')} AS date_inscription
 FROM customer c
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
 CUSTOMERS_RAW_BASE = """
@@ -74,7 +73,6 @@ SELECT customer_id, prenom,
        ELSE date_naissance END AS date_naissance,
   date_inscription
 FROM customers_ref
-WHERE solde >= 0
 """
 
 CUSTOMERS_RAW = """
@@ -100,7 +98,9 @@ def _status(orderstatus: str, key: str) -> str:
 _MOBILE = ", ".join(_q(p) for p in M.MOBILE_CHANNEL_PRIORITIES)
 
 ORDERS_RAW = f"""
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS date_commande,
+SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 12 = 5 OR o_custkey % 97 = 13 THEN o_custkey + {M.ORPHAN_SHIFT} ELSE o_custkey END AS customer_id,
+  o_orderdate AS date_commande,
   {_status('o_orderstatus', 'o_orderkey')} AS statut,
   CASE WHEN o_orderpriority IN ({_MOBILE}) THEN 'mobile_app' ELSE 'web' END AS canal,
   CAST(500 * (1 + o_orderkey % 5) AS INTEGER) AS frais_livraison_fcfa,
@@ -156,7 +156,7 @@ SELECT o_orderkey AS payment_id,
   {_method('o_orderpriority')} AS methode,
   {_pay_status('o_orderkey')} AS statut,
   o_orderdate + to_seconds(CAST(30 + o_orderkey % 7170 AS BIGINT)) AS paid_at
-FROM orders WHERE o_orderstatus <> 'P'
+FROM orders WHERE {_status('o_orderstatus', 'o_orderkey')} <> {_q(M.CANCELLED)}
 """
 
 PAYMENTS_RAW = """

@@ -31,9 +31,10 @@ SELECT payment_id, order_id, customer_id, montant_fcfa, methode, statut,
        strftime(paid_at, '%Y-%m-%d %H:%M:%S') AS paid_at
 FROM (SELECT DISTINCT * FROM payments_raw)""", "payments_raw"))
 def stream_dedup_q(spark, sf_dir):
-    """Payments feed as a stream, duplicates dropped within a 2-hour watermark."""
+    """Payments feed as a stream, duplicates dropped within the measured lateness."""
     sw = S.StreamWarehouse(spark, sf_dir)
-    dedup = S.dedup_within_watermark(M.payments_raw(sw), "payment_id", "paid_at", "2 hours")
+    late = S.lateness(M.payments_raw(wh(spark, sf_dir)), "paid_at")
+    dedup = S.dedup_within_watermark(M.payments_raw(sw), "payment_id", "paid_at", late)
     out = S.run_to_table(spark, dedup, "stream_dedup")
     return out.withColumn("paid_at", F.date_format(S.instant_to_ntz(F.col("paid_at")), "yyyy-MM-dd HH:mm:ss"))
 
@@ -42,10 +43,11 @@ def stream_dedup_q(spark, sf_dir):
 SELECT strftime(date_trunc('hour', event_time), '%Y-%m-%d %H:%M:%S') AS debut, event_type, COUNT(*) AS n
 FROM events_nav GROUP BY 1, 2""", "events_nav"))
 def stream_window_counts_q(spark, sf_dir):
-    """Hourly event counts per type from the event stream (watermark 2 hours,
-    update mode; final state per window)."""
+    """Hourly event counts per type from the event stream (watermark of the
+    measured lateness, update mode; final state per window)."""
     sw = S.StreamWarehouse(spark, sf_dir)
-    counts = S.windowed_counts(M.events_nav(sw), "event_time", "event_type", "1 hour", "2 hours")
+    late = S.lateness(M.events_nav(wh(spark, sf_dir)), "event_time")
+    counts = S.windowed_counts(M.events_nav(sw), "event_time", "event_type", "1 hour", late)
     out = S.run_upserts(spark, counts, ["fenetre", "event_type"], "stream_window_counts")
     return out.select(F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
                       .alias("debut"), "event_type", "n")
@@ -53,7 +55,7 @@ def stream_window_counts_q(spark, sf_dir):
 
 @query("compact_events", V("SELECT * FROM events"))
 def compact_events_q(spark, sf_dir):
-    """The events table rewritten as files of about 128 MB."""
+    """The events table rewritten as files of about 128 MB, without a shuffle."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     return S.compact(spark, spark.read.parquet(src), S.input_bytes(spark, src),
                      _scratch(spark, "compact_events"))
@@ -107,7 +109,7 @@ def stream_window_funnel_q(spark, sf_dir):
     from baobab.operators.funnel import STEPS
     sw = S.StreamWarehouse(spark, sf_dir)
     flags = S.windowed_session_flags(M.events_nav(sw), "event_time", "session_id", "event_type",
-                                     STEPS, "1 hour", "2 hours")
+                                     STEPS, "1 hour", S.lateness(M.events_nav(wh(spark, sf_dir)), "event_time"))
     state = S.run_upserts(spark, flags, ["fenetre", "session_id"], "stream_window_funnel")
     sums = [F.sum(name).cast("bigint").alias(name) for _, name in STEPS]
     start = F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")

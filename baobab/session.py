@@ -71,25 +71,20 @@ def sizing_conf(input_bytes: int, cores: int, target_bytes: int = 256 * 1024 * 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
+    """The folder all executors share: ``spark.checkpoint.dir``, or where the session
+    names none, the folder given to ``SparkContext.setCheckpointDir``.
 
-    On a cluster a missing setting is an error. In local mode (``local[...]``: one
-    process, so its own disk is what the executors share) a temporary folder is set
-    where the session names none, as in tests.
+    On a cluster a missing folder is an error. In local mode (``local[...]``: one
+    process, so its own disk is what the executors share) a temporary one is set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         return current
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    return set_shared_dir(spark, tempfile.mkdtemp(prefix="baobab-"))
-
-
-def set_shared_dir(spark: SparkSession, path: str) -> str:
-    """Use ``path`` as the shared folder of this session."""
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="baobab-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

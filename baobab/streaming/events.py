@@ -15,25 +15,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import TimestampNTZType
 
 from baobab.operators.windows import latest_per_key
 from baobab.session import scratch_path
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 class StreamWarehouse:
-    """Streaming view of the input tables: each parquet table read as a file
+    """Streaming view of the input tables, a file or a folder each: read as a file
     stream with the schema of its batch counterpart (no inference)."""
 
     def __init__(self, spark: SparkSession, root: str, max_files_per_trigger: int | None = None):
         self.spark, self.root, self.max_files = spark, root.rstrip("/"), max_files_per_trigger
 
     def __call__(self, name: str) -> DataFrame:
-        schema = self.spark.read.parquet(f"{self.root}/{name}.parquet").schema
-        r = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        path = f"{self.root}/{name}.parquet"
+        r = self.spark.readStream.schema(self.spark.read.parquet(path).schema)
         if self.max_files:
             r = r.option("maxFilesPerTrigger", self.max_files)
-        return r.parquet(self.root)
+        if _is_folder(self.spark, path):
+            return r.parquet(path)
+        return r.option("pathGlobFilter", f"{name}.parquet").parquet(self.root)
+
+
+def lateness(batch: DataFrame, ts: str) -> str:
+    """A watermark delay that drops nothing: files come in any order of event time, so
+    no row is later than the span of the event times (one row to the driver)."""
+    t = F.col(ts)
+    if isinstance(batch.schema[ts].dataType, TimestampNTZType):
+        t = ntz_to_instant(t)
+    span = batch.agg((F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))).alias("us")).first()["us"]
+    return f"{(span or 0) // 1_000_000 + 1} seconds"
 
 
 def _epoch_ntz() -> Column:
@@ -73,22 +91,43 @@ def windowed_counts(stream: DataFrame, ts: str, group: str, size: str, delay: st
                   .agg(F.count(F.lit(1)).alias("n")))
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
-                 timeout_s: int = 3600) -> DataFrame:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _finish(spark: SparkSession, writer: DataStreamWriter, timeout_s: int | None) -> None:
+    """Run a stream over all input available now. Without a limit it ends when the input
+    does; with one, a stream that needs longer is stopped and raises. State is kept on
+    the executors' disks (RocksDB), not in their heaps."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        q = writer.trigger(availableNow=True).start()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} s")
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def run_to_table(spark: SparkSession, stream: DataFrame, name: str, timeout_s: int | None = None) -> DataFrame:
     """Append a stream to parquet files until the input available now is consumed;
     return the written table as a batch frame."""
     base = scratch_path(spark, name)
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{base}/data")
+    _finish(spark, stream.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data"), timeout_s)
+    return spark.read.schema(stream.schema).parquet(f"{base}/data")
 
 
 def run_upserts(spark: SparkSession, stream: DataFrame, keys: list[str], name: str,
-                timeout_s: int = 3600) -> DataFrame:
+                timeout_s: int | None = None) -> DataFrame:
     """Run an aggregating stream in update mode; each micro-batch is written to its
     own folder (idempotent on batch replay); the current state of every key is its
     row from the latest batch."""
@@ -98,11 +137,8 @@ def run_upserts(spark: SparkSession, stream: DataFrame, keys: list[str], name: s
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite") \
              .parquet(f"{base}/data/b={batch_id}")
 
-    q = (stream.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(spark, stream.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", f"{base}/_checkpoint"), timeout_s)
     out = spark.read.parquet(f"{base}/data")
     return latest_per_key(out.drop("b"), keys, ["_batch"]).drop("_batch")
 
@@ -117,9 +153,10 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def compact(spark: SparkSession, src: DataFrame, src_bytes: int, dest: str,
             target_file_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Rewrite ``src`` as ceil(bytes / target) files and return the new table."""
+    """Rewrite ``src`` as about ceil(bytes / target) files and return the new table.
+    Input splits are gathered into as many tasks; no row is shuffled."""
     n = max(1, -(-src_bytes // target_file_bytes))
-    src.repartition(n).write.mode("overwrite").parquet(dest)
+    src.coalesce(n).write.mode("overwrite").parquet(dest)
     return spark.read.parquet(dest)
 
 

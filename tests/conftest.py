@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from baobab.session import build_session, set_shared_dir  # noqa: E402
+from baobab.session import build_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -14,8 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("baobab-tests", master="local[*]", shuffle_partitions=8,
-                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="baobab-wh-")})
-    # Tests run without a cluster: give the session its own checkpoint folder.
-    set_shared_dir(s, tempfile.mkdtemp(prefix="baobab-ckpt-"))
+                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="baobab-wh-"),
+                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="baobab-ckpt-")})
     yield s
     s.stop()
