@@ -142,7 +142,7 @@ def mix_table(docs: DataFrame, **columns) -> DataFrame:
     """
     slim = keyed(docs, **columns)
     rows = slim.select("id", "size", F.col("source").alias("mix_source"), F.col("key").alias("mix_key"))
-    return _taken(rows, source_plan(slim)).select(
+    return _taken(rows, materialized(source_plan(slim), "mix_plan")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -150,7 +150,9 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
           quality: Column | None = None) -> DataFrame:
     """The mix itself: every document as often as it is taken, the columns of ``docs``.
     The documents stay where they are and meet one plan row per source."""
-    plan = source_plan(keyed(docs, doc_id, text, source, quality))
+    # Written, so that its size is known: one row per source is broadcast while it is
+    # small, and a join that Spark can split by source where it isn't.
+    plan = materialized(source_plan(keyed(docs, doc_id, text, source, quality)), "mix_plan")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     size = count_space_words(F.col(f"row.{text}"))
     weight = quality_weight(F.col(f"row.{text}"), size) if quality is None else F.col("weight")
