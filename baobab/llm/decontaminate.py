@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from baobab.llm._text import (ANY_GAP, alnum_words, count_alnum_words, fresh, gram_hash, positions,
-                              text_key, whole, words_hash)
+from baobab.llm._text import (ANY_GAP, alnum_words, count_alnum_words, fresh, gram_hash, materialized,
+                              positions, text_key, whole, words_hash)
 
 SIZE = 13
 ANCHOR = 3
@@ -107,7 +107,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text: str = "t
     """
     n_words, n_hit, items, hits, contaminated, key = fresh(
         docs, "n_words", "n_hit", "items", "hits", "contaminated", "text_key")
-    found = find_hits(docs, benchmark, size, text, item_id, item_text, max_broadcast).toDF(key, n_hit, items, hits)
+    # Written, so that its size is known: the hits are broadcast to the texts while they
+    # are small, and the shuffled join can be split where they aren't.
+    found = materialized(find_hits(docs, benchmark, size, text, item_id, item_text, max_broadcast), "benchmark_hits")
+    found = found.toDF(key, n_hit, items, hits)
     # The key is a column before the join, so that texts nobody asks for aren't shuffled.
     own = fresh(docs, "own_key")[0]
     rows = docs.withColumns({n_words: count_alnum_words(F.col(text)), own: text_key(F.col(text))})
