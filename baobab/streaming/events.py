@@ -153,10 +153,15 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def compact(spark: SparkSession, src: DataFrame, src_bytes: int, dest: str,
             target_file_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Rewrite ``src`` as about ceil(bytes / target) files and return the new table.
-    Input splits are gathered into as many tasks; no row is shuffled."""
+    """Rewrite ``src`` as ceil(bytes / target) files and return the new table.
+
+    Many small splits (the case that compaction is for) are gathered into as many tasks
+    without a shuffle. Only an input of fewer splits than files, too coarse to be cut
+    by the scan, is dealt out anew.
+    """
     n = max(1, -(-src_bytes // target_file_bytes))
-    src.coalesce(n).write.mode("overwrite").parquet(dest)
+    out = src.coalesce(n) if src.rdd.getNumPartitions() >= n else src.repartition(n)
+    out.write.mode("overwrite").parquet(dest)
     return spark.read.parquet(dest)
 
 
