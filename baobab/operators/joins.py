@@ -11,6 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def own_partitions(dim: DataFrame) -> DataFrame:
+    """``dim`` (grouped by the key it is about to be joined on) in partitions of its own.
+
+    Joined as it is, it brings the shuffle of its aggregate along, and AQE splits a hot
+    key only between two shuffles made for the join. Rebalanced, it is shuffled once
+    more, so a fact key holding a third of the rows is split over tasks.
+    """
+    return dim.hint("rebalance")
+
+
 def enrich(facts: DataFrame, dim: DataFrame, key: str, cols: list[str],
            how: str = "inner") -> DataFrame:
     """Facts joined to ``cols`` of the dimension on a shared key name."""
@@ -24,13 +34,6 @@ def anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None
     return left.join(r, F.col(left_key) == F.col("_rk"), "left_anti")
 
 
-def semi(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """Rows of ``left`` with at least one match, never duplicated."""
-    rk = right_key or left_key
-    r = right.select(F.col(rk).alias("_rk"))
-    return left.join(r, F.col(left_key) == F.col("_rk"), "left_semi")
-
-
 def not_in(left: DataFrame, right: DataFrame, left_key: str,
            right_key: str | None = None) -> DataFrame:
     """``left_key NOT IN (SELECT right_key FROM right)`` with SQL semantics.
@@ -48,7 +51,7 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str,
         F.when(F.count(F.lit(1)) == 0, F.lit(0))
          .when(F.count(F.when(F.col("_rk").isNull(), F.lit(1))) > 0, F.lit(2))
          .otherwise(F.lit(1))).scalar()
-    # mode picks the rule (referenced once, so the subquery is planned once)
+    # mode picks the rule; Spark infers the filter on both sides and reuses the subquery
     keep = F.element_at(F.array(F.lit(True), F.col(left_key).isNotNull(), F.lit(False)), mode + 1)
     return anti(left.where(keep), right_keys, left_key, "_rk")
 
@@ -61,7 +64,7 @@ def anti_by_outer(left: DataFrame, right: DataFrame, left_key: str,
     multiply left rows.
     """
     rk = right_key or left_key
-    r = right.select(F.col(rk).alias("_rk")).distinct()
+    r = own_partitions(right.select(F.col(rk).alias("_rk")).distinct())
     return (left.join(r, F.col(left_key) == F.col("_rk"), "left")
                 .where(F.col("_rk").isNull()).drop("_rk"))
 

@@ -5,43 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from baobab.operators.quality import measure_profile
+from baobab.operators.windows import share_of_total
+
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Per column, its type, row count, NULL count and exact distinct count.
 
-    The table is unpivoted to (column, value) pairs, reduced to distinct pairs with
-    their multiplicity (partial aggregation, so a dominant value is pre-counted on
-    the mappers), then summarised per column: two shuffles whatever the number of
-    columns, instead of one distinct aggregate per column.
-    """
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("valeur"))
-        for c in df.columns])).alias("p")).select("p.colonne", "p.valeur")
-    per_value = pairs.groupBy("colonne", "valeur").agg(F.count(F.lit(1)).alias("k"))
-    summary = per_value.groupBy("colonne").agg(
-        F.sum("k").cast("bigint").alias("nb_lignes"),
-        F.coalesce(F.sum(F.when(F.col("valeur").isNull(), F.col("k"))), F.lit(0))
-         .cast("bigint").alias("nb_null"),
-        F.count("valeur").alias("nb_distinct"),
-    )
-    type_of = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
-    return summary.withColumn("type_spark", type_of[F.col("colonne")])
+    Every count is made in the column's own type (see ``measure_profile``): each column
+    is read once more for its distinct values, and no row is expanded."""
+    p = measure_profile(df, {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(df.columns)})
+    lines = [F.struct(F.lit(f.name).alias("colonne"), F.col(f"c{i}_rows").alias("nb_lignes"),
+                      F.col(f"c{i}_nulls").alias("nb_null"), F.col(f"c{i}_distinct").alias("nb_distinct"),
+                      F.lit(f.dataType.simpleString()).alias("type_spark")) for i, f in enumerate(df.schema.fields)]
+    return p.select(F.inline(F.array(*lines)))
 
 
 def value_shares(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
     """Share of each value among all rows (pandas ``value_counts(normalize)``)."""
-    from baobab.operators.windows import share_of_total
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     return share_of_total(counts, "n", "part", scale=1.0, digits=digits).drop("n")
 
 
 def distinct_before_after(df: DataFrame, col: str) -> DataFrame:
-    """Distinct values before and after lower(trim()), and the difference."""
-    from baobab.operators.quality import measure_profile
-    p = measure_profile(df, {"avant": F.col(col), "apres": F.lower(F.trim(F.col(col)))})
-    return p.select(F.col("avant_distinct").alias("nb_avant"), F.col("apres_distinct").alias("nb_apres"),
-                    (F.col("avant_distinct") - F.col("apres_distinct")).alias("difference"))
+    """Distinct values before and after lower(trim()), and the difference: distinct
+    values first, then grouped by their normalised form."""
+    values = df.where(F.col(col).isNotNull()).select(col).distinct()
+    forms = values.groupBy(F.lower(F.trim(F.col(col))).alias("form")).agg(F.count(F.lit(1)).alias("spellings"))
+    before = F.coalesce(F.sum("spellings"), F.lit(0)).cast("bigint")
+    return forms.agg(before.alias("nb_avant"), F.count(F.lit(1)).alias("nb_apres"),
+                     (before - F.count(F.lit(1))).alias("difference"))
 
 
 def contains_rate(df: DataFrame, col: str, token: str, digits: int = 2) -> DataFrame:

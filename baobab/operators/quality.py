@@ -36,64 +36,76 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def measure_profile(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    """Several distinct/duplicate measures of one table in a single scan.
-
-    Every row is unpivoted to one ``(measure, value)`` pair per measure (values as
-    exact text: ``to_json`` for structs), pairs are counted (partial aggregation,
-    so a dominant value is pre-counted on each mapper), then summarised per
-    measure. Returns one row with, per measure ``m``: ``m_rows``, ``m_nulls``,
-    ``m_distinct`` (non-null values) and ``m_surplus`` (rows beyond the first of
-    each non-null value). Three shuffles, whatever the number of measures.
+    """Several distinct/duplicate measures of one table, in their own types.
+
+    Rows and NULLs of all measures come from one aggregate. Each distinct count is a
+    scalar subquery over the columns of its measure alone: the rows are never expanded,
+    and a dominant value is reduced on every mapper. Returns one row with, per measure
+    ``m``: ``m_rows``, ``m_nulls``, ``m_distinct`` (non-null values) and ``m_surplus``
+    (rows beyond the first of each non-null value).
     """
-    def text(c: Column) -> Column:
-        return c.cast("string")
-
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("m"), text(c).alias("v")) for name, c in measures.items()
-    ])).alias("p")).select("p.m", "p.v")
-    counted = pairs.groupBy("m", "v").agg(F.count(F.lit(1)).alias("k"))
-    per = counted.groupBy("m").agg(
-        F.sum("k").cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("k"))), F.lit(0)).cast("bigint").alias("nulls"),
-        F.count("v").alias("distinct"),
-        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k") - 1)), F.lit(0))
-         .cast("bigint").alias("surplus"),
-    )
+    known = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_{m}") for m, c in measures.items()])
+    # distinct() and not count_distinct: Spark would merge the latter into one aggregate,
+    # which expands every row by the number of measures.
+    known = known.withColumns({f"{m}_distinct": df.select(c.alias("_v")).distinct().agg(F.count("_v")).scalar()
+                               for m, c in measures.items()})
     out = []
-    for name in measures:
-        for stat in ("rows", "nulls", "distinct", "surplus"):
-            out.append(F.max(F.when(F.col("m") == name, F.col(stat))).alias(f"{name}_{stat}"))
-    return per.agg(*out)
+    for m in measures:
+        out += [F.col("_rows").alias(f"{m}_rows"), (F.col("_rows") - F.col(f"_{m}")).alias(f"{m}_nulls"),
+                F.col(f"{m}_distinct"), (F.col(f"_{m}") - F.col(f"{m}_distinct")).alias(f"{m}_surplus")]
+    return known.select(*out)
+
 
+def row_groups(df: DataFrame, normalized: dict[str, Column], **counted: Column) -> DataFrame:
+    """One row per distinct row of ``df`` after the ``normalized`` columns are replaced
+    (``_x`` for column x): ``rows``, the distinct rows before that (``exact``), and the
+    rows for which each condition in ``counted`` holds.
 
-def row_text(cols: list[Column]) -> Column:
-    """An exact, comparable text of a whole row (for duplicate detection)."""
-    return F.to_json(F.struct(*cols))
+    Two grouping steps in the columns' own types, rows counted on the mappers first:
+    what is shuffled is distinct rows.
+    """
+    exact = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("rows"))
+    keys = [normalized.get(c, F.col(c)).alias(f"_{c}") for c in df.columns]
+    return exact.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("exact"),
+        *[F.sum(F.when(cond, F.col("rows")).otherwise(F.lit(0))).alias(name) for name, cond in counted.items()])
 
 
 def cleaning_report(raw: DataFrame, email: str = "email", city: str = "ville",
                     key: str = "customer_id") -> DataFrame:
     """Raw rows, missing e-mails (after C1), distinct cities before and after
     normalisation, exact duplicates, duplicates once e-mails are normalised, rows
-    after de-duplication (one per key) -- one scan of the raw table."""
-    norm_cols = [F.lower(F.trim(F.col(c))).alias(c) if c == email else F.col(c) for c in raw.columns]
-    p = measure_profile(raw, {
-        "email": missing_to_null(email),
-        "ville": F.col(city),
-        "ville_norm": F.lower(strip_accents(F.trim(F.col(city)))),
-        "ligne": row_text([F.col(c) for c in raw.columns]),
-        "ligne_norm": row_text(norm_cols),
-        "cle": F.col(key),
-    })
-    return p.select(
-        F.col("ligne_rows").alias("nb_lignes_brutes"),
-        F.col("email_nulls").alias("nb_emails_manquants"),
-        F.col("ville_distinct").alias("nb_villes_avant"),
-        F.col("ville_norm_distinct").alias("nb_villes_apres"),
-        F.col("ligne_surplus").alias("nb_doublons_exacts"),
-        F.col("ligne_norm_surplus").alias("nb_doublons_apres_normalisation"),
-        F.col("cle_distinct").alias("nb_lignes_apres"),
-    )
+    after de-duplication (one per key) -- one scan of the raw table.
+
+    Distinct rows are grouped first; only they are told apart by city, normalised city
+    and key, as three short values in their own types."""
+    groups = row_groups(raw, {email: F.lower(F.trim(F.col(email)))}, missing=missing_to_null(email).isNull())
+    c, k = F.col(f"_{city}"), F.col(f"_{key}")
+    no_text, no_key = F.lit(None).cast("string"), F.lit(None).cast(raw.schema[key].dataType)
+
+    def seen(measure: int, text: Column, number: Column, first: bool) -> Column:
+        counts = [(F.col(n) if first else F.lit(0)).cast("bigint").alias(n) for n in ("rows", "exact", "missing")]
+        return F.struct(F.lit(measure).alias("measure"), text.alias("text"), number.alias("key"),
+                        F.lit(int(first)).cast("bigint").alias("groups"), *counts)
+
+    values = groups.select(F.explode(F.array(
+        seen(0, no_text, k, True), seen(1, c, no_key, False),
+        seen(2, F.lower(strip_accents(F.trim(c))), no_key, False))).alias("v")).select("v.*")
+    values = values.groupBy("measure", "text", "key").agg(
+        *[F.sum(n).alias(n) for n in ("groups", "rows", "exact", "missing")])
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+
+    def distinct(measure: int, value: str) -> Column:
+        return F.count(F.when(F.col("measure") == measure, F.col(value)))
+
+    return values.agg(
+        total("rows").alias("nb_lignes_brutes"), total("missing").alias("nb_emails_manquants"),
+        distinct(1, "text").alias("nb_villes_avant"), distinct(2, "text").alias("nb_villes_apres"),
+        (total("rows") - total("exact")).alias("nb_doublons_exacts"),
+        (total("rows") - total("groups")).alias("nb_doublons_apres_normalisation"),
+        distinct(0, "key").alias("nb_lignes_apres"))
 
 
 def padded_values(df: DataFrame, col: str) -> DataFrame:
@@ -104,12 +116,13 @@ def padded_values(df: DataFrame, col: str) -> DataFrame:
 def near_duplicates(df: DataFrame, normalized: dict[str, Column]) -> DataFrame:
     """R2: exact duplicate rows vs rows that only become duplicates once the
     ``normalized`` columns are normalised (one scan)."""
-    cols = [normalized.get(c, F.col(c)).alias(c) for c in df.columns]
-    p = measure_profile(df, {"ligne": row_text([F.col(c) for c in df.columns]),
-                             "ligne_norm": row_text(cols)})
-    return p.select(F.col("ligne_rows").alias("nb_lignes"),
-                    F.col("ligne_surplus").alias("nb_doublons_exacts"),
-                    (F.col("ligne_norm_surplus") - F.col("ligne_surplus")).alias("nb_quasi_doublons"))
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    return row_groups(df, normalized).agg(
+        total(F.col("rows")).alias("nb_lignes"),
+        total(F.col("rows") - F.col("exact")).alias("nb_doublons_exacts"),
+        total(F.col("exact") - 1).alias("nb_quasi_doublons"))
 
 
 def key_concentration(df: DataFrame, key: str, k: int = 10) -> DataFrame:

@@ -46,28 +46,41 @@ def with_previous(df: DataFrame, order_col: str, value_col: str,
     return df.withColumns({prev_col: prev, delta_col: F.col(value_col) - prev})
 
 
-def behind_running_max(df: DataFrame, arrival: str, ts: str, block: int = 1_000_000,
-                       prev_col: str = "max_avant") -> DataFrame:
+def _max_before(df: DataFrame, pos: str, value: str, by: list[str], block: int, levels: int,
+                out: str) -> DataFrame:
+    """``df`` with the greatest ``value`` at smaller ``pos``, inside ``by``. Windows cover a
+    block of positions; what came before a block is the same question about the blocks'
+    maxima, asked ``levels`` times before one window takes the rest."""
+    if not levels:
+        w = Window.partitionBy(*by).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.max(value).over(w))
+    blk, top, inside, pre = f"_blk{levels}", f"_top{levels}", f"_in{levels}", f"_pre{levels}"
+    # Integer division rounds towards zero, which keeps the order of negative positions, too.
+    x = df.withColumn(blk, F.call_function("div", F.col(pos), F.lit(block)))
+    w = Window.partitionBy(*by, blk).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = x.groupBy(*by, blk).agg(F.max(value).alias(top))
+    earlier = _max_before(blocks, blk, top, by, block, levels - 1, pre).select(
+        *[F.col(c).alias(f"_b{levels}_{c}") for c in by], F.col(blk).alias(f"_b{levels}"), pre)
+    same = F.col(blk) == F.col(f"_b{levels}")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_b{levels}_{c}"))
+    out_col = F.greatest(F.col(inside), F.col(pre)).alias(out)
+    return x.withColumn(inside, F.max(value).over(w)).join(earlier, same, "left").select(*df.columns, out_col)
+
+
+def behind_running_max(df: DataFrame, arrival: str, ts: str, block: int = 1 << 16,
+                       prev_col: str = "max_avant", by: list[str] | None = None, levels: int = 3) -> DataFrame:
     """For each row, the greatest ``ts`` among rows that arrived before it
-    (``arrival`` order), computed exactly without a single-task window.
-
-    Arrivals are cut into blocks of ``block`` consecutive ``arrival`` values
-    (``arrival`` is an integer key). The running maximum inside a block is a window
-    partitioned by block (bounded partitions); the maximum of all earlier blocks
-    comes from the per-block maxima, one row per block, whose prefix maximum is the
-    only unpartitioned window and has ``rows / block`` rows. ``prev_col`` is NULL for
-    the first arrival.
+    (``arrival`` order), over all rows or inside each key ``by``, exactly.
+
+    Arrivals (a 64-bit integer) are cut into blocks of ``block`` values, blocks into
+    blocks of blocks, and so on: three levels of 2^16 leave at most 2^16 values for the
+    last window. So every window holds at most ``block`` different arrivals, whether
+    they are dense or spread over the whole range. ``prev_col`` is NULL for a first
+    arrival; arrivals are taken to be unique (inside ``by``).
     """
-    b = F.floor(F.col(arrival) / F.lit(block)).alias("_blk")
-    x = df.withColumn("_blk", b)
-    inner = Window.partitionBy("_blk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_in", F.max(ts).over(inner))
-    per_block = x.groupBy("_blk").agg(F.max(ts).alias("_bmax"))
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select("_blk", F.max("_bmax").over(before).alias("_pre"))
-    out = x.join(prefix, "_blk", "left")
-    best = F.greatest(F.col("_in"), F.col("_pre"))
-    return out.withColumn(prev_col, best).drop("_blk", "_in", "_pre")
+    return _max_before(df.withColumn("_pos", F.col(arrival).cast("bigint")), "_pos", ts, by or [], block, levels,
+                       prev_col).drop("_pos")
 
 
 def share_of_total(df: DataFrame, value_col: str, share_col: str, scale: float = 100.0,

@@ -203,7 +203,7 @@ WHERE event_time < max_avant""", "events_arrivals"))
 def late_events_q(spark, sf_dir):
     """Events whose time is behind the latest time already received."""
     e = M.events_arrivals(wh(spark, sf_dir)).select("event_id", "event_time")
-    x = behind_running_max(e, "event_id", "event_time", block=1_000_000)
+    x = behind_running_max(e, "event_id", "event_time")
     late = x.where(F.col("event_time") < F.col("max_avant"))
     return late.select(
         "event_id",

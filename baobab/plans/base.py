@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from baobab.operators.clean import clean_orders
 from baobab.plans import model as M
+from baobab.sources.catalog import register
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +65,23 @@ def staged(w: M.Warehouse, name: str, build: Callable[[], DataFrame]) -> DataFra
 def orders_clean(w: M.Warehouse) -> DataFrame:
     """C8 applied to the orders export (raw text kept as ``montant_raw``)."""
     return staged(w, "orders_clean", lambda: clean_orders(M.orders_raw(w)))
+
+
+def orders_delivered(w: M.Warehouse) -> DataFrame:
+    """Delivered orders. The status is a CASE over the input's status, which no scan can
+    filter on, so the input's own status is asked for where the orders are derived."""
+    if w.root in _STAGING:
+        return orders_clean(w).where(F.col("statut") == M.DELIVERED)
+    return clean_orders(M.orders_raw(w, delivered_only=True))
+
+
+# Temporary views of the SQL queries.
+VIEWS: dict[str, Callable[[M.Warehouse], DataFrame]] = {
+    "clients": M.customers_raw, "commandes": M.orders_raw, "commandes_clean": orders_clean,
+    "produits": M.products, "paiements": M.payments_raw, "lignes_commande": M.order_items,
+    "evenements": M.events_nav}
+
+
+def register_views(spark: SparkSession, sf_dir: str, *names: str, **others: DataFrame) -> None:
+    """Register the named views and ``others``; tables nobody names aren't opened."""
+    register({n: VIEWS[n](wh(spark, sf_dir)) for n in names} | others)

@@ -39,7 +39,11 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
-CUSTOMERS_RAW_BASE = """
+_PHONES = " ".join(
+    f"WHEN {i} THEN {_q(lead)} || concat_ws({_q(sep)}, _prefix, _suffix[1:3], _suffix[4:5], _suffix[6:7])"
+    for i, (lead, sep) in enumerate(M.PHONE_STYLES))
+
+CUSTOMERS_RAW_BASE = f"""
 SELECT customer_id, prenom,
   CASE WHEN customer_id % 50 = 3 THEN '  ' || nom || ' ' ELSE nom END AS nom,
   CASE WHEN customer_id % 100 = 11 THEN ''
@@ -53,12 +57,7 @@ SELECT customer_id, prenom,
   CASE WHEN customer_id % 100 = 13 THEN '33 820 00 00'
        WHEN customer_id % 100 = 29 THEN 'abc'
        WHEN customer_id % 100 = 97 THEN NULL
-       WHEN customer_id % 4 = 0 THEN '+221' || _prefix || _suffix
-       WHEN customer_id % 4 = 1 THEN _prefix || _suffix
-       WHEN customer_id % 4 = 2 THEN '+221 ' || _prefix || ' ' || substr(_suffix, 1, 3) || ' '
-                                       || substr(_suffix, 4, 2) || ' ' || substr(_suffix, 6, 2)
-       ELSE _prefix || '-' || substr(_suffix, 1, 3) || '-' || substr(_suffix, 4, 2) || '-'
-            || substr(_suffix, 6, 2) END AS telephone,
+       ELSE CASE customer_id % {len(M.PHONE_STYLES)} {_PHONES} END END AS telephone,
   CASE WHEN customer_id % 50 = 2 THEN lower(ville)
        WHEN customer_id % 50 = 4 THEN ' ' || ville || ' '
        WHEN customer_id % 50 = 6 THEN replace(ville, 'A', 'À')
@@ -75,14 +74,14 @@ SELECT customer_id, prenom,
 FROM customers_ref
 """
 
-CUSTOMERS_RAW = """
+CUSTOMERS_RAW = f"""
 SELECT * FROM customers_base
 UNION ALL SELECT * FROM customers_base WHERE customer_id % 300 = 19
 UNION ALL SELECT customer_id, prenom, nom, upper(email) AS email, telephone, ville, region,
                  date_naissance, date_inscription
           FROM customers_base WHERE customer_id % 500 = 21
 UNION ALL SELECT customer_id, prenom, nom,
-                 'nouveau' || CAST(customer_id AS VARCHAR) || '@gmail.com' AS email,
+                 'nouveau' || CAST(customer_id AS VARCHAR) || '@' || '{M.NEW_DOMAIN}' AS email,
                  telephone, ville, region, date_naissance,
                  strftime(CAST(date_inscription AS DATE) + 30, '%Y-%m-%d') AS date_inscription
           FROM customers_base WHERE customer_id % 400 = 33
@@ -228,4 +227,6 @@ def with_views(sql: str, *names: str, extra: list[tuple[str, str]] | None = None
     ctes += [f"{n} AS ({body})" for n, body in (extra or [])]
     if not ctes:
         return sql
+    if sql.lstrip().startswith("WITH"):  # a body with CTEs of its own
+        sql = f"SELECT * FROM ({sql})"
     return "WITH " + ",\n".join(ctes) + "\n" + sql

@@ -9,6 +9,21 @@ from baobab.operators import funnel, joins, profile, quality, text
 from baobab.operators.windows import behind_running_max, latest_per_key, top_n_per_group
 
 
+def test_behind_running_max_of_sparse_ids_by_key(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["a", "b", None]), i, base + dt.timedelta(minutes=rnd.randint(0, 10_000)))
+            for i in {rnd.randrange(-2 ** 62, 2 ** 62) for _ in range(400)}]
+    df = spark.createDataFrame(rows, "k string, event_id long, t timestamp").repartition(4)
+    out = behind_running_max(df, "event_id", "t", by=["k"])
+    best, exp = {}, {}
+    for k, i, t in sorted(rows, key=lambda r: r[1]):
+        exp[i] = best.get(k)
+        best[k] = max(t, best.get(k, t))
+    assert {r.event_id: r.max_avant for r in out.collect()} == exp
+    assert out.columns == ["k", "event_id", "t", "max_avant"]
+
+
 def test_behind_running_max_matches_brute_force(spark):
     rnd = random.Random(7)
     base = dt.datetime(2024, 1, 1)

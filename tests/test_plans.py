@@ -75,3 +75,47 @@ def test_sql_and_dataframe_forms_plan_alike(spark, Q):
         a, b = _ops(Q[sql_name](spark, SF_SMALL)), _ops(Q[df_name](spark, SF_SMALL))
         strip = lambda ops: [o for o in ops if o not in ("Project", "Filter")]
         assert strip(a) == strip(b), (sql_name, a, b)
+
+
+def test_lines_are_shuffled_once_before_the_subtotal(spark, Q):
+    import re
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("three_source_revenue", "top_products", "top3_by_region", "product_ranking"):
+            lines = _plan(Q[name](spark, SF_SMALL)).splitlines()
+            scan = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "Scan" in line)
+            depth = re.search(r"[A-Za-z*]", lines[scan]).start()
+            between = []  # the scan's ancestors, from below
+            for line in reversed(lines[:scan]):
+                at = re.search(r"[A-Za-z*]", line).start()
+                if at < depth:
+                    depth = at
+                    between.append(line)
+            subtotal = next(i for i, line in enumerate(between) if "HashAggregate" in line)
+            assert sum("Exchange" in line for line in between[:subtotal]) == 1, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_profiles_expand_no_row(spark, Q):
+    for name in ("profile_columns", "city_distinct_before_after", "near_duplicates"):
+        p = _plan(Q[name](spark, SF_SMALL))
+        assert "to_json" not in p and "Expand" not in p, name
+    assert "to_json" not in _plan(Q["quality_report"](spark, SF_SMALL))
+    p = _plan(Q["profile_columns"](spark, SF_SMALL)).splitlines()
+    generate = [i for i, line in enumerate(p) if "Generate" in line]
+    scan = [i for i, line in enumerate(p) if "FileScan" in line]
+    assert all(any("Aggregate" in line for line in p[g:scan[0]]) for g in generate)
+
+
+def test_delivered_orders_are_filtered_in_the_scan(spark, Q):
+    for name in ("top3_by_region", "monthly_revenue", "enrich_by_expr"):
+        assert "EqualTo(o_orderstatus,F)" in _plan(Q[name](spark, SF_SMALL)), name
+
+
+def test_a_query_opens_only_its_tables(spark, Q, tmp_path):
+    import shutil
+    for t in ("orders", "customer", "nation", "region"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    assert Q["enrich_orders"](spark, str(tmp_path)).columns

@@ -62,10 +62,10 @@ def test_clean_amount_is_digit_stripping(spark, texts):
 def test_measure_profile_matches_python(spark, rows):
     from pyspark.sql import functions as F
 
-    from baobab.operators.quality import measure_profile, row_text
+    from baobab.operators.quality import measure_profile
     df = spark.createDataFrame(rows, "k int, s string")
     p = measure_profile(df, {"s": F.col("s"), "norm": F.lower(F.trim("s")),
-                             "row": row_text([F.col("k"), F.col("s")])}).collect()
+                             "row": F.struct("k", "s")}).collect()
     if not rows:
         return
     r = p[0]

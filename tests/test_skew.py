@@ -1,11 +1,15 @@
 """A key holding a third of the fact rows: AQE splits it across tasks at run time."""
 
+import shutil
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from baobab.operators import joins as J
 from baobab.operators.windows import latest_per_key
+from baobab.plans import QUERIES
+from conftest import SF_SMALL
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",          # force a shuffle join
@@ -52,3 +56,26 @@ def test_hot_key_latest_per_key_is_pre_aggregated(spark):
     assert len(got) == 1000 and got[7] == 59_997
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortAggregate") + plan.count("HashAggregate") >= 2  # partial + final
+
+
+@pytest.fixture(scope="module")
+def hot_orders(spark, tmp_path_factory):
+    """The small tables with a third of the orders on customer 7, in several files."""
+    root = tmp_path_factory.mktemp("hot")
+    for t in ("customer", "nation", "region", "lineitem", "part"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", root / f"{t}.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey")).cast(o.schema["o_custkey"].dataType)
+    o.withColumn("o_custkey", hot).repartition(6).write.parquet(f"{root}/orders.parquet")
+    return str(root)
+
+
+@pytest.mark.parametrize("name", ["enrich_on_key", "enrich_by_expr", "orphans_left_null", "top3_by_region",
+                                  "top_products", "three_source_revenue"])
+def test_hot_customer_is_split(spark, hot_orders, name):
+    with conf(spark, SMALL):
+        out = QUERIES[name](spark, hot_orders)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "skew=true" in line]
+    assert any("customer_id" in line or "_rk" in line for line in joins), plan
