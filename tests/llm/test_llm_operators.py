@@ -289,6 +289,25 @@ def test_preferences(spark):
     assert not got[2].usable and got[2].rejected == "" and got[3].chosen == "" and got[None].n_prompt_turns == 0
 
 
+def test_passages_made_of_common_phrases(spark):
+    """Every phrase stands in many unrelated texts, every passage in two."""
+    rnd = random.Random(5)
+
+    def filler(n):
+        return " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n))
+
+    phrases = [filler(12) for _ in range(30)]
+    texts = [" ".join(filler(30) + " " + p for p in rnd.sample(phrases, 3)) for _ in range(300)]
+    for _ in range(60):
+        passage = " ".join(rnd.sample(phrases, 6))
+        texts += [f"{filler(60)} {passage} {filler(60)}" for _ in range(2)]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(300, len(texts)))
+    assert all(r.first_word <= 60 and r.first_word + r.n_words >= 132 for r in got)
+
+
 def test_compact_windows():
     import numpy as np
     rng = np.random.default_rng(1)
