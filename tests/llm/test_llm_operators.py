@@ -308,6 +308,31 @@ def test_passages_made_of_common_phrases(spark):
     assert all(r.first_word <= 60 and r.first_word + r.n_words >= 132 for r in got)
 
 
+@pytest.mark.parametrize("copies", [10, 40])
+def test_every_near_copy_of_a_group_is_found(spark, monkeypatch, copies):
+    """Copies with one word changed: many pairs are not similar enough, and each has a partner that is."""
+    monkeypatch.setattr(substring_dedup, "CHUNK", 16, raising=False)
+    rnd, texts, want = random.Random(11), [], set()
+
+    def filler(n):
+        return ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)]
+
+    for _ in range(400 // copies):
+        base, group = filler(60), []
+        for _ in range(copies):
+            passage = list(base)
+            passage[rnd.randrange(60)] = "other" + filler(1)[0]
+            group.append(passage)
+        at = len(texts)
+        for i, x in enumerate(group):
+            if any(substring_dedup.verified(y, x) for j, y in enumerate(group) if j != i):
+                want.add(at + i)
+        texts += [filler(70) + x + filler(70) for x in group]
+    rows = [(i, " ".join(x)) for i, x in enumerate(texts)]
+    got = {r.doc_id for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= want and len(want - got) <= 0.01 * len(want)  # two of four hash functions must agree
+
+
 def test_compact_windows():
     import numpy as np
     rng = np.random.default_rng(1)
