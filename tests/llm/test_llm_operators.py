@@ -261,6 +261,21 @@ def test_quality_rules_keep_good_documents(spark):
     assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.3 * len(junk)
 
 
+def test_rare_languages_are_not_judged_by_others(spark, monkeypatch):
+    """Clean documents of a language with few documents, and of one beyond MAX_LANGUAGES, stay."""
+    rnd, rows = random.Random(2), []
+    for lang, n in (("aa", 300), ("bb", 45), ("cc", 60)):
+        words = [lang + "".join(rnd.choices("abcdefgh", k=3)) for _ in range(30)]
+        rows += [(len(rows) + i, " ".join(rnd.choices(words, k=150)), lang, "s", 1) for i in range(n)]
+    rows.append((999, " ".join(f"aaq{i}" for i in range(150)), "cc", "s", 1))
+    docs = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(quality_rules, "MAX_LANGUAGES", 1)
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert [i for i, r in got.items() if not r.kept] == [999] and len(got) == len(rows)
+    monkeypatch.setattr(quality_rules, "MAX_LANGUAGES", 1000)
+    same(quality_rules.judge(docs).collect(), got.values())  # joined or shipped, the same verdicts
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = quality_classifier.digest(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
