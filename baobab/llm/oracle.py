@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from baobab.llm import decontaminate, mixing, preferences, sharding
+from baobab.llm import decontaminate, hard_negatives, merkle, mixing, preferences, sharding
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,9 +107,72 @@ def preferences_sql() -> str:
     FROM (FROM sides WHERE side = 'a') x LEFT JOIN (FROM sides WHERE side = 'b') y ON x.conv_id IS NOT DISTINCT FROM y.conv_id"""
 
 
+def merkle_sql(levels: int = 12) -> str:
+    """Every level of both trees as a table of its own, up to 3^12 leaves a source."""
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    others = " || ".join(field(c) for c in merkle.FIELDS[:-1])
+    steps = ["""
+    byte AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS crc
+             FROM (SELECT unnest(generate_series(0, 255)) AS n)),
+    crcs AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                                                   lambda a, b: xor(crc[(xor(a, b) & 255) + 1], a >> 8))) AS crc_of FROM documents, byte)""",
+             f"""
+    leaves AS (SELECT doc_id, source, sha256({others} || {field('text')}) AS leaf,
+                      sha256({others} || {field("CASE WHEN crc_of % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS now FROM crcs)""",
+             """
+    p0 AS (SELECT *, now AS f, '' AS proof, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS n,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves)""",
+             "\n    s0 AS (SELECT g, i, n, leaf AS h FROM p0)"]
+
+    def tree(s: str, p: str, place: str) -> None:
+        for k in range(levels):
+            size = f"ceil(n / {3 ** k}.0)"
+            steps.append(f"""
+    {s}{k + 1} AS (SELECT g, i // 3 AS i, any_value(n) AS n, CASE WHEN any_value({size}) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h
+                   FROM {s}{k} GROUP BY g, i // 3),
+    {s}w{k} AS (SELECT g, i, coalesce(lag(h, 2) OVER o, '') || coalesce(lag(h) OVER o, '') AS l, coalesce(lead(h) OVER o, '') || coalesce(lead(h, 2) OVER o, '') AS r
+                FROM {s}{k} WINDOW o AS (PARTITION BY g, i // 3 ORDER BY i)),
+    {p}{k + 1} AS (SELECT {p}{k}.* REPLACE (CASE WHEN {size} > 1 THEN sha256(l || f || r) ELSE f END AS f, proof || l || r AS proof)
+                   FROM {p}{k} JOIN {s}w{k} ON {place.format(p=f"{p}{k}", s=f"{s}w{k}", k=3 ** k)})""")
+
+    tree("s", "p", "{p}.g = {s}.g AND {p}.i // {k} = {s}.i")
+    steps.append(f"""
+    t0 AS (SELECT 0 AS g, g AS i, count(*) OVER () AS n, h FROM s{levels}),
+    q0 AS (SELECT p{levels}.* REPLACE ((SELECT count(*) FROM t0) AS n), h AS subroot FROM p{levels} JOIN t0 ON p{levels}.g = t0.i)""")
+    tree("t", "q", "{p}.g // {k} = {s}.i")
+    return f"""WITH {','.join(steps)}
+    SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM q{levels}, t{levels}"""
+
+
+def hard_negatives_sql() -> str:
+    low, high = hard_negatives.LOW, hard_negatives.HIGH
+    return f"""
+    WITH kept AS (
+      SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor({hard_negatives.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+    scores AS (
+      SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+      FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND (a.label <> b.label OR a.vec_id IS DISTINCT FROM b.vec_id)),
+    positives AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS k FROM scores WHERE same)
+      WHERE k <= {hard_negatives.POSITIVES}),
+    ranked AS (
+      SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.r, p.k ORDER BY n.score DESC, n.vec_id NULLS LAST) AS INTEGER) AS rank
+      FROM positives p JOIN scores n ON p.r = n.r AND NOT n.same AND {low} * p.score <= 100 * n.score AND 100 * n.score <= {high} * p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= {hard_negatives.NEGATIVES}"""
+
+
 ORACLE: dict[str, str] = {
     "op2_sharding": shard_sql([f"shard-{i:03d}" for i in range(64)]),
     "op3_decontaminate": decontaminate_sql(),
     "op7_mixing": mixing_sql(),
     "op9_preferences": preferences_sql(),
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_hard_negatives": hard_negatives_sql(),
 }

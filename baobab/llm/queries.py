@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from baobab.llm import (decontaminate, license_scan, mixing, preferences, quality_classifier, quality_rules,
-                        secret_scan, sharding, simhash, substring_dedup)
+from baobab.llm import (decontaminate, hard_negatives, license_scan, merkle, mixing, multiset_hash, preferences,
+                        quality_classifier, quality_rules, secret_scan, sharding, simhash, substring_dedup)
 from baobab.llm.oracle import ORACLE
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -57,8 +57,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_sharding, op3_decontaminate, op4_secret_scan, op5_substring_dedup,
-                            op6_simhash, op7_mixing, op8_quality_rules, op9_preferences, op10_quality_classifier)}
+                            op6_simhash, op7_mixing, op8_quality_rules, op9_preferences, op10_quality_classifier,
+                            op11_merkle_manifest, op12_hard_negatives, op13_fingerprints)}
 
 __all__ = ["ORACLE", "QUERIES"]
