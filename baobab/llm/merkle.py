@@ -114,9 +114,10 @@ def proofs(leaves: DataFrame, leaf: str, source: str, order: list[str]) -> DataF
 
     Leaves of a source stand in the order of ``order``, then by hash, so repeated rows
     and equal ids have a defined place; nulls come first and a null source is one of its
-    own. An empty table has no root and gives no rows. Any other columns are kept.
+    own. An empty table has no root and gives no rows. Any other columns are kept; those
+    named as the new ones are replaced.
     """
-    columns = leaves.columns
+    columns = [c for c in leaves.columns if c.lower() not in ("subroot", "root", "path")]
     rows = ranked(leaves.select(F.struct(F.col(f"`{source}`").alias("source")).alias("key"), F.col(f"`{leaf}`").alias("h"),
                                 F.struct(*(F.col(f"`{c}`") for c in columns)).alias("item"),
                                 *(F.col(f"`{c}`").alias(f"o{k}") for k, c in enumerate(order))),
