@@ -142,12 +142,14 @@ def neighbours(docs: DataFrame, doc_id: str, text: str, block: int = BLOCK) -> D
     Rows equal in id and text are one document with a number of copies. Ranks are found
     on keys alone; texts move twice: to their copies, and to their block.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.md5(whole(F.col(f"`{text}`"))).alias("text_key"),
-                       whole(F.col(f"`{text}`")).alias("t"))
-    single = rows.groupBy("id", "text_key").agg(F.any_value("t").alias("t"), F.count(F.lit(1)).alias("copies"))
-    order = ranked(rows.groupBy("id", "text_key").agg(F.lit(0).alias("z")).drop("z"), [], ["id", "text_key"], "at")
-    order = order.select(F.struct("id", "text_key").alias("pair"), "at", "total")
-    placed = (single.withColumn("own", F.struct("id", "text_key")).join(order, F.col("own") == F.col("pair")))
+    # One string is both the grouping and the join key, so the join finds the texts where
+    # the grouping has put them.
+    text_of, id_of = whole(F.col(f"`{text}`")), F.col(f"`{doc_id}`")
+    rows = docs.select(F.concat(F.coalesce(id_of.cast("string"), F.lit("-")), F.lit(":"), F.md5(text_of)).alias("own"),
+                       id_of.alias("id"), text_of.alias("t"))
+    single = rows.groupBy("own").agg(F.any_value("t").alias("t"), F.count(F.lit(1)).alias("copies"))
+    keys = rows.groupBy("own").agg(F.max("id").alias("id")).withColumnRenamed("own", "pair")
+    placed = single.join(ranked(keys, [], ["id", "pair"], "at"), F.col("own") == F.col("pair"))
     here = F.struct(F.floor(F.col("at") / block).alias("block"), F.col("at").alias("at"), F.lit(False).alias("extra"))
     last = F.pmod(F.col("at") - 1, F.col("total"))
     before = F.struct(F.floor(last / block).alias("block"), (last + 1).alias("at"), F.lit(True).alias("extra"))
