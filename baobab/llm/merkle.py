@@ -95,13 +95,17 @@ def _heights(nodes: DataFrame) -> list[DataFrame]:
     return heights
 
 
-def _descend(heights: list[DataFrame], top: DataFrame) -> DataFrame:
+def _descend(heights: list[DataFrame], top: DataFrame | None = None) -> DataFrame:
     """(key, h, item, path, and the further columns of ``top``) of every leaf, from the
-    ``path`` of every group in ``top`` (t_key, path, further columns)."""
-    more = [c for c in top.columns if c not in ("t_key", "path")]
-    above, rows = top.withColumn("t_block", F.lit(0).cast("bigint")), None
+    ``path`` of every group in ``top`` (t_key, path, further columns). Without ``top`` a
+    group's root is the end of all paths, and the further column ``root``."""
+    more = [c for c in top.columns if c not in ("t_key", "path")] if top is not None else ["root"]
+    above, rows = top.withColumn("t_block", F.lit(0).cast("bigint")) if top is not None else None, None
     for blocks in reversed(heights):
-        met = blocks.join(above, (blocks["key"] == above["t_key"]) & (blocks["block"] == above["t_block"]))
+        if above is None:
+            met = blocks.withColumns({"path": F.array().cast("array<struct<left:string,right:string>>"), "root": F.col("h")})
+        else:
+            met = blocks.join(above, (blocks["key"] == above["t_key"]) & (blocks["block"] == above["t_block"]))
         rows = (met.select("key", *more, F.explode(_unfold(F.col("kids"), DEPTH - 1, F.col("total"), F.col("path"))).alias("leaf"))
                 .select("key", *more, "leaf.*"))
         above = rows.select(F.col("key").alias("t_key"), F.col("item").alias("t_block"), "path", *more) if blocks is not heights[0] else None
@@ -125,9 +129,7 @@ def proofs(leaves: DataFrame, leaf: str, source: str, order: list[str]) -> DataF
     trees = _heights(rows.select("key", "i", "total", "h", "item"))
     subroots = ranked(trees[-1].select(F.col("key").alias("item"), "h"), [], ["item"], "i")
     roots = _heights(subroots.select(F.struct(F.lit(0).alias("all")).alias("key"), "i", "total", "h", "item"))
-    empty = F.array().cast("array<struct<left:string,right:string>>")
-    top = _descend(roots, roots[-1].select(F.col("key").alias("t_key"), empty.alias("path"), F.col("h").alias("root")))
-    top = top.select(F.col("item").alias("t_key"), "path", F.col("h").alias("subroot"), "root")
+    top = _descend(roots).select(F.col("item").alias("t_key"), "path", F.col("h").alias("subroot"), "root")
     return _descend(trees, top).select("item.*", "subroot", "root", "path")
 
 
