@@ -194,12 +194,15 @@ def payment_dedup_q(spark, sf_dir):
     return out.withColumn("paid_at", F.date_format("paid_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("late_events", V("""
+LATE_EVENTS = V("""
 SELECT event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
        CAST(date_diff('second', event_time, max_avant) AS BIGINT) AS retard_s
 FROM (SELECT *, max(event_time) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                 AS max_avant FROM events_arrivals)
-WHERE event_time < max_avant""", "events_arrivals"))
+WHERE event_time < max_avant""", "events_arrivals")
+
+
+@query("late_events", LATE_EVENTS)
 def late_events_q(spark, sf_dir):
     """Events whose time is behind the latest time already received."""
     e = M.events_arrivals(wh(spark, sf_dir)).select("event_id", "event_time")

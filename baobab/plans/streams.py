@@ -13,19 +13,27 @@ from pyspark.sql.types import StructType
 
 from baobab.operators.text import word_counts
 from baobab.plans import model as M
+from baobab.plans.audits import LATE_EVENTS
 from baobab.plans.base import query, wh
 from baobab.plans.funnel import _WORDS, steps_sql
 from baobab.plans.oracle_model import with_views as V
 from baobab.session import scratch_path
 from baobab.sources import files
 from baobab.streaming import events as S
-
+from baobab.streaming import late as L
+from baobab.streaming import lateness as D
 
 
 def _scratch(spark, name: str) -> str:
     return scratch_path(spark, name)
 
 
+def _delay(spark, sf_dir: str, table: str, batch, ts: str) -> str:
+    """Watermark delay that covers every row of a feed derived from ``table``."""
+    files = D.arrivals(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return D.delay_bound(D.delay_histogram(batch, ts, files))
+
+
 @query("stream_dedup", V("""
 SELECT payment_id, order_id, customer_id, montant_fcfa, methode, statut,
        strftime(paid_at, '%Y-%m-%d %H:%M:%S') AS paid_at
@@ -33,7 +41,7 @@ FROM (SELECT DISTINCT * FROM payments_raw)""", "payments_raw"))
 def stream_dedup_q(spark, sf_dir):
     """Payments feed as a stream, duplicates dropped within the measured lateness."""
     sw = S.StreamWarehouse(spark, sf_dir)
-    late = S.lateness(M.payments_raw(wh(spark, sf_dir)), "paid_at")
+    late = _delay(spark, sf_dir, "orders", M.payments_raw(wh(spark, sf_dir)), "paid_at")
     dedup = S.dedup_within_watermark(M.payments_raw(sw), "payment_id", "paid_at", late)
     out = S.run_to_table(spark, dedup, "stream_dedup")
     return out.withColumn("paid_at", F.date_format(S.instant_to_ntz(F.col("paid_at")), "yyyy-MM-dd HH:mm:ss"))
@@ -46,7 +54,7 @@ def stream_window_counts_q(spark, sf_dir):
     """Hourly event counts per type from the event stream (watermark of the
     measured lateness, update mode; final state per window)."""
     sw = S.StreamWarehouse(spark, sf_dir)
-    late = S.lateness(M.events_nav(wh(spark, sf_dir)), "event_time")
+    late = _delay(spark, sf_dir, "events", M.events_nav(wh(spark, sf_dir)), "event_time")
     counts = S.windowed_counts(M.events_nav(sw), "event_time", "event_type", "1 hour", late)
     out = S.run_upserts(spark, counts, ["fenetre", "event_type"], "stream_window_counts")
     return out.select(F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
@@ -128,9 +136,36 @@ def stream_window_funnel_q(spark, sf_dir):
     from baobab.operators.funnel import STEPS
     sw = S.StreamWarehouse(spark, sf_dir)
     flags = S.windowed_session_flags(M.events_nav(sw), "event_time", "session_id", "event_type",
-                                     STEPS, "1 hour", S.lateness(M.events_nav(wh(spark, sf_dir)), "event_time"))
+                                     STEPS, "1 hour", _delay(spark, sf_dir, "events", M.events_nav(wh(spark, sf_dir)), "event_time"))
     state = S.run_upserts(spark, flags, ["fenetre", "session_id"], "stream_window_funnel")
     sums = [F.sum(name).cast("bigint").alias(name) for _, name in STEPS]
     start = F.date_format(S.instant_to_ntz(F.col("fenetre.start")), "yyyy-MM-dd HH:mm:ss")
     return (state.groupBy(start.alias("debut"))
                  .agg(F.count(F.lit(1)).alias("sessions"), *sums))
+
+
+def _late_columns(late, *more):
+    """The columns of ``late_events`` from (event_id, event_us, behind_us)."""
+    return late.select("event_id", *more, F.date_format(S.instant_to_ntz(F.timestamp_micros("event_us")), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
+                       (F.floor((F.col("event_us") + F.col("behind_us")) / 1_000_000) - F.floor(F.col("event_us") / 1_000_000)).alias("retard_s"))
+
+
+@query("stream_late_events", LATE_EVENTS)
+def stream_late_events_q(spark, sf_dir):
+    """R9 as a stream: events behind the latest event time already received, to a side
+    output with their delay."""
+    events = M.events_arrivals(S.StreamWarehouse(spark, sf_dir))
+    return _late_columns(L.run_late_events(spark, L.micros(events, "event_id", "event_time")))
+
+
+@query("stream_late_events_by_user", V("""
+SELECT event_id, user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+       CAST(date_diff('second', event_time, max_avant) AS BIGINT) AS retard_s
+FROM (SELECT *, max(event_time) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                AS max_avant FROM events_arrivals)
+WHERE event_time < max_avant""", "events_arrivals"))
+def stream_late_events_by_user_q(spark, sf_dir):
+    """R9 per user, the running maximum as keyed state."""
+    events = M.events_arrivals(S.StreamWarehouse(spark, sf_dir))
+    late = L.late_by_key(L.micros(events, "event_id", "event_time", "user_id"), "user_id")
+    return _late_columns(S.run_to_table(spark, late, "late_by_user").withColumnRenamed("key", "user_id"), "user_id")

@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -44,16 +46,6 @@ class StreamWarehouse:
         return r.option("pathGlobFilter", f"{name}.parquet").parquet(self.root)
 
 
-def lateness(batch: DataFrame, ts: str) -> str:
-    """A watermark delay that drops nothing: files come in any order of event time, so
-    no row is later than the span of the event times (one row to the driver)."""
-    t = F.col(ts)
-    if isinstance(batch.schema[ts].dataType, TimestampNTZType):
-        t = ntz_to_instant(t)
-    span = batch.agg((F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))).alias("us")).first()["us"]
-    return f"{(span or 0) // 1_000_000 + 1} seconds"
-
-
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -94,20 +86,40 @@ def windowed_counts(stream: DataFrame, ts: str, group: str, size: str, delay: st
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _finish(spark: SparkSession, writer: DataStreamWriter, timeout_s: int | None) -> None:
+@dataclass
+class StreamReport:
+    """What a finished run says of itself: rows that came later than the watermark allows
+    (after partial aggregation, for aggregating streams), state rows left at the end, the
+    most there were, and micro-batches."""
+
+    late_rows: int = 0
+    state_rows: int = 0
+    most_state_rows: int = 0
+    batches: int = 0
+
+
+class LateRows(RuntimeError):
+    """A stream dropped rows that came later than its watermark allows."""
+
+
+_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.numRecentProgressUpdates": "100000"}
+
+
+def _finish(spark: SparkSession, writer: DataStreamWriter, timeout_s: int | None) -> StreamReport:
     """Run a stream over all input available now. Without a limit it ends when the input
     does; with one, a stream that needs longer is stopped and raises. State is kept on
     the executors' disks (RocksDB), not in their heaps."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         q = writer.trigger(availableNow=True).start()
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     if timeout_s is None:
         q.awaitTermination()
     elif not q.awaitTermination(timeout_s):
@@ -115,30 +127,44 @@ def _finish(spark: SparkSession, writer: DataStreamWriter, timeout_s: int | None
         raise TimeoutError(f"the stream did not end within {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()
+    progress = q.recentProgress
+    states = [sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in progress]
+    late = sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
+    return StreamReport(late, states[-1] if states else 0, max(states, default=0), len(progress))
+
+
+def _check(report: StreamReport, into: StreamReport | None) -> None:
+    """Rows beyond the watermark are an error, or are told to a caller who asked for the report."""
+    if into is not None:
+        into.__dict__.update(report.__dict__)
+    elif report.late_rows:
+        raise LateRows(f"{report.late_rows} rows came later than the watermark allows and are not in the result")
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str, timeout_s: int | None = None) -> DataFrame:
+def run_to_table(spark: SparkSession, stream: DataFrame, name: str, timeout_s: int | None = None,
+                 report: StreamReport | None = None) -> DataFrame:
     """Append a stream to parquet files until the input available now is consumed;
-    return the written table as a batch frame."""
+    return the written table as a batch frame. Rows beyond the watermark raise
+    :class:`LateRows`, or are counted in ``report`` where one is given."""
     base = scratch_path(spark, name)
-    _finish(spark, stream.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data"), timeout_s)
+    _check(_finish(spark, stream.writeStream.format("parquet").outputMode("append")
+                   .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data"), timeout_s), report)
     return spark.read.schema(stream.schema).parquet(f"{base}/data")
 
 
 def run_upserts(spark: SparkSession, stream: DataFrame, keys: list[str], name: str,
-                timeout_s: int | None = None) -> DataFrame:
+                timeout_s: int | None = None, report: StreamReport | None = None) -> DataFrame:
     """Run an aggregating stream in update mode; each micro-batch is written to its
     own folder (idempotent on batch replay); the current state of every key is its
-    row from the latest batch."""
+    row from the latest batch. Rows beyond the watermark: as in :func:`run_to_table`."""
     base = scratch_path(spark, name)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite") \
              .parquet(f"{base}/data/b={batch_id}")
 
-    _finish(spark, stream.writeStream.outputMode("update").foreachBatch(sink)
-            .option("checkpointLocation", f"{base}/_checkpoint"), timeout_s)
+    _check(_finish(spark, stream.writeStream.outputMode("update").foreachBatch(sink)
+                   .option("checkpointLocation", f"{base}/_checkpoint"), timeout_s), report)
     out = spark.read.parquet(f"{base}/data")
     return latest_per_key(out.drop("b"), keys, ["_batch"]).drop("_batch")
 
