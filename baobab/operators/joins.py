@@ -27,10 +27,17 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str, cols: list[str],
     return facts.join(dim.select(key, *cols), on=key, how=how)
 
 
-def anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """Rows of ``left`` without a match (NULL keys never match)."""
+def anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
+         facts_on_right: bool = False) -> DataFrame:
+    """Rows of ``left`` without a match (NULL keys never match).
+
+    AQE splits a hot key on the left of an anti join only. Where the right side holds the
+    facts (J8), ``facts_on_right`` reduces it to distinct keys on the mappers.
+    """
     rk = right_key or left_key
     r = right.select(F.col(rk).alias("_rk"))
+    if facts_on_right:
+        r = r.where(F.col("_rk").isNotNull()).distinct()
     return left.join(r, F.col(left_key) == F.col("_rk"), "left_anti")
 
 

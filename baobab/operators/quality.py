@@ -20,14 +20,21 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def fingerprint(columns: list[Column]) -> Column:
+    """128 bits of a row: two hashes with different beginnings over the values and, since
+    the hash skips NULLs, over which of them are NULL. Rows of one fingerprint are taken
+    as equal; among 10^12 different rows any two meet with a probability of 10^-15."""
+    nulls = F.concat(*(F.when(c.isNull(), "1").otherwise("0") for c in columns))
+    return F.struct(F.xxhash64(nulls, *columns).alias("a"), F.xxhash64(F.lit("b"), *columns, nulls).alias("b"))
+
+
 def surplus_rows(df: DataFrame, cols: list[Column | str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical group: ``count - count(distinct)``,
-    in one aggregation (A36)."""
-    cols = cols or df.columns
-    sel = [F.col(c) if isinstance(c, str) else c for c in cols]
-    g = df.select(*[s.alias(f"_c{i}") for i, s in enumerate(sel)])
-    return (g.groupBy(*g.columns).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("nb_doublons")))
+    in one aggregation (A36) over the rows' fingerprints: what is shuffled doesn't grow
+    with the width of the table."""
+    sel = [F.col(f"`{c}`") if isinstance(c, str) else c for c in cols or df.columns]
+    return (df.groupBy(fingerprint(sel).alias("f")).agg(F.count(F.lit(1)).alias("n"))
+              .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("nb_doublons")))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -56,19 +63,24 @@ def measure_profile(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     return known.select(*out)
 
 
-def row_groups(df: DataFrame, normalized: dict[str, Column], **counted: Column) -> DataFrame:
-    """One row per distinct row of ``df`` after the ``normalized`` columns are replaced
-    (``_x`` for column x): ``rows``, the distinct rows before that (``exact``), and the
-    rows for which each condition in ``counted`` holds.
+def row_groups(df: DataFrame, normalized: dict[str, Column], keep: list[str] | None = None, **counted: Column) -> DataFrame:
+    """One row per distinct row of ``df`` after the ``normalized`` columns are replaced:
+    ``rows``, the distinct rows before that (``exact``), the rows for which each condition
+    in ``counted`` holds, and the columns ``keep`` (none of the ``normalized``).
 
-    Two grouping steps in the columns' own types, rows counted on the mappers first:
-    what is shuffled is distinct rows.
+    Two grouping steps over the rows' fingerprints, before and after; rows are counted on
+    the mappers first. A row moves as its two fingerprints and the kept columns, however
+    wide the table is.
     """
-    exact = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("rows"))
-    keys = [normalized.get(c, F.col(c)).alias(f"_{c}") for c in df.columns]
-    return exact.groupBy(*keys).agg(
+    keep = keep or []
+    flags = {name: F.coalesce(cond, F.lit(False)) for name, cond in counted.items()}
+    rows = df.select(fingerprint([F.col(f"`{c}`") for c in df.columns]).alias("_exact"),
+                     fingerprint([normalized.get(c, F.col(f"`{c}`")) for c in df.columns]).alias("_after"),
+                     *keep, *(flag.alias(name) for name, flag in flags.items()))
+    exact = rows.groupBy("_exact", "_after", *keep, *flags).agg(F.count(F.lit(1)).alias("rows"))
+    return exact.groupBy("_after", *keep).agg(
         F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("exact"),
-        *[F.sum(F.when(cond, F.col("rows")).otherwise(F.lit(0))).alias(name) for name, cond in counted.items()])
+        *[F.sum(F.when(F.col(name), F.col("rows")).otherwise(0)).alias(name) for name in flags])
 
 
 def cleaning_report(raw: DataFrame, email: str = "email", city: str = "ville",
@@ -77,10 +89,10 @@ def cleaning_report(raw: DataFrame, email: str = "email", city: str = "ville",
     normalisation, exact duplicates, duplicates once e-mails are normalised, rows
     after de-duplication (one per key) -- one scan of the raw table.
 
-    Distinct rows are grouped first; only they are told apart by city, normalised city
-    and key, as three short values in their own types."""
-    groups = row_groups(raw, {email: F.lower(F.trim(F.col(email)))}, missing=missing_to_null(email).isNull())
-    c, k = F.col(f"_{city}"), F.col(f"_{key}")
+    Rows move as fingerprints with their city and key; only distinct ones are told apart
+    by city, normalised city and key, as three short values in their own types."""
+    groups = row_groups(raw, {email: F.lower(F.trim(F.col(email)))}, keep=[key, city], missing=missing_to_null(email).isNull())
+    c, k = F.col(city), F.col(key)
     no_text, no_key = F.lit(None).cast("string"), F.lit(None).cast(raw.schema[key].dataType)
 
     def seen(measure: int, text: Column, number: Column, first: bool) -> Column:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from baobab.operators import profile, quality
+from baobab.operators import profile, quality, sketches
 from baobab.operators.windows import behind_running_max
 from baobab.plans import model as M
 from baobab.plans.base import AS_OF, orders_clean, query, wh
 from baobab.plans.cleaning import RAW_COLS
 from baobab.plans.oracle_model import with_views as V
+from baobab.session import scratch_path
 
 # Payment status spellings after lower/trim/accent removal.
 PAY_SUCCESS = ["reussi", "ok", "succes", "success"]
@@ -31,6 +32,25 @@ def profile_columns_q(spark, sf_dir):
     return profile.profile_columns(M.orders_raw(wh(spark, sf_dir)))
 
 
+@query("profile_columns_sketch")
+def profile_columns_sketch_q(spark, sf_dir):
+    """P1/A5 with estimated distinct counts: all columns in one scan."""
+    return sketches.sketched_profile(M.orders_raw(wh(spark, sf_dir)))
+
+
+@query("monthly_visitors_sketch")
+def monthly_visitors_sketch_q(spark, sf_dir):
+    """A5: users per month from daily sketches that are stored, then merged: a day's
+    events are read once, whatever periods are asked for later."""
+    days = M.events_nav(wh(spark, sf_dir)).select(F.to_date("event_time").alias("jour"), "user_id", "session_id")
+    path = scratch_path(spark, "daily_sketches")
+    sketches.column_sketches(days, ["user_id", "session_id"], by=["jour"]).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("mois", F.date_format("jour", "yyyy-MM"))
+    months = sketches.merge_sketches(stored, by=["mois"])
+    return months.select("mois", F.col("rows").alias("nb_evenements"), sketches.estimated(months, "user_id").alias("utilisateurs_estimes"),
+                         sketches.estimated(months, "session_id").alias("sessions_estimees"))
+
+
 @query("share_3dp", V("""
 SELECT statut, round(COUNT(*) * 1.0 / (SELECT COUNT(*) FROM orders_raw), 3) AS part
 FROM orders_raw GROUP BY statut""", "orders_raw"))

@@ -82,7 +82,7 @@ def test_lines_are_shuffled_once_before_the_subtotal(spark, Q):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("three_source_revenue", "top_products", "top3_by_region", "product_ranking"):
+        for name in ("top_products", "product_ranking"):
             lines = _plan(Q[name](spark, SF_SMALL)).splitlines()
             scan = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "Scan" in line)
             depth = re.search(r"[A-Za-z*]", lines[scan]).start()
