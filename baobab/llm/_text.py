@@ -44,6 +44,11 @@ def count_space_words(text: Column) -> Column:
     return F.regexp_count(whole(text), F.lit(SPACE_WORD)).cast("bigint")
 
 
+def bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a short lineage that
     survives lost executors."""

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from baobab.llm._text import positions, whole
+from baobab.llm._text import bound, positions, whole
 from baobab.llm.ranks import ranked
 
 MODULUS = 2 ** 32
@@ -59,11 +59,6 @@ def equal_lanes(text: Column) -> Column:
     return _sum(F.transform(hashed, vector), EQUAL)
 
 
-def _bound(value: Column, f) -> Column:
-    """``f`` of a value that is computed once, however often ``f`` uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _zeros(n: int) -> Column:
     return F.array(*[F.lit(0).cast("bigint")] * n)
 
@@ -81,7 +76,7 @@ def _bit_counts(hashes: Column) -> Column:
     def eighth(p: Column, k: int) -> Column:
         return F.transform(p, lambda x: F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(CHUNK)))
 
-    return _bound(packed, lambda p: F.concat(*(eighth(p, k) for k in range(8))))
+    return bound(packed, lambda p: F.concat(*(eighth(p, k) for k in range(8))))
 
 
 def _all_bit_counts(hashes: Column) -> Column:
@@ -97,9 +92,9 @@ def lanes(text: Column) -> Column:
 
     def counts(hashes: Column) -> Column:
         return F.concat(F.array(F.size(hashes).cast("bigint") % F.lit(MODULUS)), _all_bit_counts(hashes),
-                        *(_bound(further(hashes, k), _all_bit_counts) for k in range(1, SIGNS // 64)))
+                        *(bound(further(hashes, k), _all_bit_counts) for k in range(1, SIGNS // 64)))
 
-    return F.concat(equal_lanes(text), _bound(shingles(text), counts))
+    return F.concat(equal_lanes(text), bound(shingles(text), counts))
 
 
 def as_text(lanes: Column) -> Column:
