@@ -4,9 +4,11 @@ Documents and templates are cut into rolling k-grams of words (a template shorte
 than k is one gram). Document grams are joined to template positions by hash and
 verified word by word; each match votes for the diagonal document position minus
 template position. Diagonals of one template at most ``drift`` of its length apart
-are merged (words were added or left out between them) into one span, and a span
-stands when the matched grams cover at least ``threshold`` of the template's words
-and the span is not much longer than the template.
+are merged (words were added or left out between them) into one run. Phrases of the
+template that stand elsewhere can stretch a run, so a span is a stretch of it not much
+longer than the template, and it stands when the matched grams inside cover at least
+``threshold`` of the template's words; of stretches that overlap, the one that covers
+most, the first of equal ones.
 
 The templates are a fixed list of at most ``MAX_TEMPLATE_WORDS`` words (checked), so
 their grams are broadcast. Before the join, words that begin no template gram are
@@ -15,11 +17,14 @@ passed over inside the row. Matches are kept per distinct text (128-bit key).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from baobab.llm._text import alnum_words, count_alnum_words, fresh, gram_hash, positions, text_key, words_hash
+from baobab.llm._text import (alnum_words, bound, count_alnum_words, fresh, gram_hash, materialized, positions, text_key,
+                              words_hash)
 from baobab.llm.license_templates import templates as default_templates
 
 K = 3
@@ -30,8 +35,10 @@ MAX_TEMPLATE_WORDS = 20_000
 
 def template_grams(spark: SparkSession, templates: list[tuple[str, str, bool]], k: int) -> DataFrame:
     """(template, label, base, length, k, at, gram, h) of every template position."""
-    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(templates)],
-                                 "template int, label string, text string, base boolean")
+    # One literal in the JVM: the list is fixed and short.
+    listed = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text"), F.lit(base).alias("base"))
+                       for i, (label, text, base) in enumerate(templates)))
+    rows = spark.range(1).select(F.inline(listed))
     words = F.col("words")
     rows = rows.select("template", "label", "base", alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     width = F.least(F.lit(k), F.size(words))
@@ -44,15 +51,16 @@ def template_grams(spark: SparkSession, templates: list[tuple[str, str, bool]],
 
 
 def _candidates(words: Column, first_words: list[str], sizes: list[int]) -> Column:
-    """(k, at, h) of the grams of ``words`` that begin with one of ``first_words``."""
+    """(k, at, h, gram) of the grams of ``words`` that begin with one of ``first_words``."""
     def gram(n: int):
-        return lambda i: F.struct(F.lit(n).alias("k"), i.alias("at"), gram_hash(words, i, n).alias("h"))
+        return lambda i: F.struct(F.lit(n).alias("k"), i.alias("at"), gram_hash(words, i, n).alias("h"),
+                                  F.slice(words, i + 1, F.lit(n)).alias("gram"))
 
     def fits(n: int):
         return lambda i: i <= F.size(words) - n
 
     starts = F.filter(positions(F.size(words)), lambda i: F.get(words, i).isin(first_words))
-    return F.concat(F.array().cast("array<struct<k:int,at:int,h:bigint>>"),
+    return F.concat(F.array().cast("array<struct<k:int,at:int,h:bigint,gram:array<string>>>"),
                     *[F.transform(F.filter(starts, fits(n)), gram(n)) for n in sizes])
 
 
@@ -64,33 +72,41 @@ def find_spans(docs: DataFrame, text: str, templates: list[tuple[str, str, bool]
     heads = grams.select(F.get("gram", F.lit(0)).alias("w"), "k").distinct().collect()  # of the fixed list
     if sum(len(t[1].split()) for t in templates) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates of more than {MAX_TEMPLATE_WORDS} words are no fixed list")
-    rows = docs.select(text_key(F.col(text)).alias("key"), alnum_words(F.col(text)).alias("words"))
-    spots = _candidates(F.col("words"), sorted({r["w"] for r in heads}), sorted({r["k"] for r in heads}))
-    seen = (rows.select("key", "words", F.explode(spots).alias("s"))
-            .select("key", "s.k", "s.h", F.col("s.at").alias("pos"),
-                    F.slice("words", F.col("s.at") + 1, F.col("s.k")).alias("gram")))
+    spots = bound(alnum_words(F.col(text)), lambda w: _candidates(w, sorted({r["w"] for r in heads}), sorted({r["k"] for r in heads})))
+    # Each spot has its own words, so that the text's don't go with every one of them. (The
+    # outer form: for explode, Spark would filter by the array's size and so make it twice.)
+    seen = (docs.select(text_key(F.col(text)).alias("key"), spots.alias("spots")).select("key", F.explode_outer("spots").alias("s"))
+            .where("s is not null").select("key", "s.k", "s.h", F.col("s.at").alias("pos"), "s.gram"))
     hits = (seen.join(F.broadcast(grams), ["k", "h", "gram"])
             .groupBy("key", "template", (F.col("pos") - F.col("at")).alias("diagonal"), "pos", "at")
             .agg(F.first("label").alias("label"), F.first("base").alias("base"), F.first("length").alias("length"),
                  F.first("k").alias("k")))
     votes = (hits.groupBy("key", "template", "diagonal", "label", "base", "length", "k")
-             .agg(F.min("pos").alias("first"), F.max(F.col("pos") + F.col("k") - 1).alias("last"),
-                  F.collect_set("at").alias("at")))
+             .agg(F.collect_list(F.struct("pos", "at")).alias("hits")))
     # Neighbouring diagonals; a template of one gram is found as it stands, place by place.
     order = W.partitionBy("key", "template").orderBy("diagonal")
     apart = F.when(F.col("length") <= F.col("k"), F.lit(0)).otherwise(F.ceil(F.lit(drift) * F.col("length")))
     step = F.col("diagonal") - F.lag("diagonal").over(order)
     votes = votes.withColumn("new", F.when(step <= apart, 0).otherwise(1))
     votes = votes.withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    spans = (votes.groupBy("key", "template", "run", "label", "base", "length", "k")
-             .agg(F.min("first").alias("first"), F.max("last").alias("last"),
-                  F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(
-        "at", lambda a: F.sequence(a, a + F.col("k") - 1)))))
-    spans = spans.withColumn("coverage", covered / F.col("length"))
-    fits = F.col("last") - F.col("first") + 1 <= F.ceil((1 + 2 * F.lit(drift)) * F.col("length"))
-    return (spans.where((F.col("coverage") >= threshold) & fits)
-            .select("key", "template", "label", "base", "first", "last", "coverage"))
+    places = votes.select("key", "template", "run", "label", "base", "length", "k", F.explode("hits").alias("hit")).select("*", "hit.*")
+    # Every hit begins a stretch; the frame is that of the longest template.
+    reach = F.ceil((1 + 2 * F.lit(drift)) * F.col("length"))
+    longest = math.ceil((1 + 2 * drift) * max((len(t[1].split()) for t in templates), default=1))
+    run = W.partitionBy("key", "template", "run")
+    stretch = F.filter(F.collect_list("hit").over(run.orderBy("pos").rangeBetween(0, longest)),
+                       lambda h: h["pos"] + F.col("k") <= F.col("pos") + reach)
+    covered = F.size(F.array_distinct(F.flatten(F.transform("inside", lambda h: F.sequence(h["at"], h["at"] + F.col("k") - 1)))))
+    spans = (places.withColumn("inside", stretch).withColumn("coverage", covered / F.col("length"))
+             .where(F.col("coverage") >= threshold)
+             .withColumn("last", F.array_max(F.transform("inside", lambda h: h["pos"])) + F.col("k") - 1)
+             .select("key", "template", "run", "label", "base", F.col("pos").alias("first"), "last", "coverage"))
+    earlier = run.orderBy("first", F.desc("last")).rowsBetween(W.unboundedPreceding, -1)
+    spans = spans.withColumn("new", F.when(F.coalesce(F.col("first") > F.max("last").over(earlier), F.lit(True)), 1).otherwise(0))
+    spans = spans.withColumn("island", F.sum("new").over(run.orderBy("first", F.desc("last")).rowsBetween(W.unboundedPreceding, W.currentRow)))
+    best = F.max(F.struct(F.col("coverage"), (-F.col("first")).alias("before"), "last")).alias("best")
+    return (spans.groupBy("key", "template", "run", "island", "label", "base").agg(best)
+            .select("key", "template", "label", "base", (-F.col("best.before")).alias("first"), "best.last", "best.coverage"))
 
 
 def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str, bool]] | None = None,
@@ -110,6 +126,9 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str, bo
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"), F.max("coverage").alias("score"),
         F.array_sort(F.collect_list(F.struct("first", "last", "label", "coverage"))).alias("spans"))
+    # Written, so that their size is known: findings are broadcast to the texts while they
+    # are small, and joined by a shuffle that Spark can split where they aren't.
+    per_text = materialized(per_text, "license_findings")
     n_words, key, *own = fresh(docs, "n_words", "text_key", *names)
     # The key is a column before the join, so that texts nobody asks for aren't shuffled.
     own_key = fresh(docs, "own_key")[0]
