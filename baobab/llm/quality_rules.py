@@ -1,27 +1,31 @@
 """Quality rules: base counts and distribution divergence from the language.
 
 Two histograms of a document are compared to its language's reference by
-Jensen-Shannon distance (base 2, 0 to 1): character classes, and the language's
-``COMMON`` most common words with all others as one bin. References are sums over all
-documents of a language with ``MIN_WORDS`` words, each document weighing the same;
-languages with fewer than ``MIN_DOCS`` such documents have no reference, and their
-documents are judged by the base rules alone (distances 0): the joint reference is
-that of the dominant languages. Short texts scatter, so each comparison has a least
-length.
-
-References hold ``COMMON`` words of at most ``MAX_WORD`` bytes. Those of the
-``MAX_LANGUAGES`` largest languages (a few MB) are collected and shipped with the
+Jensen-Shannon distance (base 2, 0 to 1): character classes (letters by case, digits,
+marks, symbols and spaces of ASCII, and the same of all other scripts), and the
+language's ``COMMON`` most common words with all others as one bin. References are sums
+over all documents of a language with ``MIN_WORDS`` words, each document weighing the
+same. A reference of n documents is itself a sample, and its error falls with the root
+of n: both limits are wider by ``ERROR`` / sqrt(n), so a language with a few documents is
+judged mildly, one alone hardly at all, and no number of documents changes the rule.
+Short texts scatter, so each comparison has a least length.
+
+Words of any length and script count; they are told apart by 64-bit hashes. References
+of the ``MAX_LANGUAGES`` largest languages (a few MB) are collected and shipped with the
 tasks; further ones are joined to their documents, one small row a language. The rest
 is free style: Arrow batches and numpy per text, no shuffle of texts.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,20 +34,20 @@ from pyspark.sql import types as T
 from baobab.llm._text import fresh, materialized
 
 COMMON = 64
-MAX_WORD = 8
-MIN_DOCS = 50
 MAX_LANGUAGES = 1000
 MIN_WORDS = 20
 MIN_WORDS_CHARS = 20
 MAX_CHARS_DISTANCE = 0.35
 MIN_WORDS_COMMON = 100
 MAX_COMMON_DISTANCE = 0.40
+ERROR = 0.5
 WINDOW = 8
 WEIGHT = 1_000_000
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
-CLASSES = ("lower", "upper", "digit", "space", "mark", "symbol", "other")
+CLASSES = ("lower", "upper", "digit", "space", "mark", "symbol", "other", "other lower", "other upper", "other letter",
+           "other mark", "other digit", "other sign")
 
 
 def _byte_classes() -> np.ndarray:
@@ -60,9 +64,31 @@ _CLASS = _byte_classes()
 _IN_WORD = np.array([c not in _SPACE and not 0x80 <= c < 0xC0 for c in range(256)])  # one byte of each code point
 
 
-def class_histogram(bytes_seen: np.ndarray) -> np.ndarray:
-    """Bytes by class, from counts by byte value."""
-    return np.bincount(_CLASS, weights=bytes_seen, minlength=len(CLASSES))
+@cache
+def _other_classes() -> np.ndarray:
+    """Class of every code point beyond ASCII, by its Unicode category."""
+    by_category = {"Ll": 7, "Lu": 8, "Lt": 8, "Lm": 9, "Lo": 9, "M": 10, "N": 11}
+    out = np.full(0x110000, CLASSES.index("other sign"), np.uint8)
+    for c in range(128, 0x110000):
+        category = unicodedata.category(chr(c))
+        if (known := by_category.get(category, by_category.get(category[0]))) is not None:
+            out[c] = known
+    return out
+
+
+def class_histogram(data: bytes, bytes_seen: np.ndarray) -> np.ndarray:
+    """Characters by class, from the text and its counts by byte value."""
+    ascii_ = np.bincount(_CLASS[:128], weights=bytes_seen[:128], minlength=len(CLASSES))
+    if not bytes_seen[128:].any():
+        return ascii_
+    points = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return ascii_ + np.bincount(_other_classes()[points[points >= 128]], minlength=len(CLASSES))
+
+
+def word_hash(word: bytes) -> int:
+    """64 bits, signed as a long."""
+    h = xxhash.xxh64_intdigest(word)
+    return h - 2 ** 64 if h >= 2 ** 63 else h
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -123,8 +149,8 @@ def _bytes(text: str | None) -> bytes:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[dict, DataFrame | None]:
-    """{language: (class histogram, {word: bin}, word histogram)} of the largest languages,
-    and (ref_lang, ref) with the rows of each further one."""
+    """{language: (class histogram, {word hash: bin}, word histogram, documents)} of the
+    largest languages, and (lang, docs, ref) with the rows of each further one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: Counter = Counter()
@@ -134,24 +160,22 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple
                 if len(words) < MIN_WORDS:
                     continue
                 language = language or ""
-                seen = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
-                share = class_histogram(seen) * (WEIGHT / len(data))
-                for name, value in zip(CLASSES, share, strict=True):
-                    sums[language, "c", name] += round(value)
-                sums[language, "n", ""] += 1
+                seen = class_histogram(data, np.bincount(np.frombuffer(data, np.uint8), minlength=256))
+                for k, value in enumerate((seen * (WEIGHT / seen.sum())).tolist()):
+                    sums[language, "c", k] += round(value)
+                sums[language, "n", 0] += 1
                 for w, n in Counter(words).items():
-                    if len(w) <= MAX_WORD:
-                        sums[language, "w", w] += round(n * WEIGHT / len(words))
+                    sums[language, "w", word_hash(w)] += round(n * WEIGHT / len(words))
             keys = list(sums)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 pa.array([_bytes(k[2]) if isinstance(k[2], str) else k[2] for k in keys], pa.binary()),
-                 pa.array([sums[k] for k in keys], pa.int64())], names=["lang", "kind", "name", "n"])
+                 pa.array([k[2] for k in keys], pa.int64()), pa.array([sums[k] for k in keys], pa.int64())],
+                names=["lang", "kind", "name", "n"])
 
     slim = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sums = materialized(slim.mapInArrow(run, "lang string, kind string, name binary, n long")
+    sums = materialized(slim.mapInArrow(run, "lang string, kind string, name long, n long")
                         .groupBy("lang", "kind", "name").agg(F.sum("n").alias("n")), "quality_references")
-    own = sums.where("kind = 'n'").where(F.col("n") >= MIN_DOCS).select("lang", F.col("n").alias("docs"))
+    own = sums.where("kind = 'n'").select("lang", F.col("n").alias("docs"))
     ranked = sums.where("kind != 'n'").withColumn("rank", F.row_number().over(
         W.partitionBy("lang", "kind").orderBy(F.desc("n"), "name"))).where(F.col("rank") <= COMMON)
     tables = ranked.join(own, "lang").groupBy("lang", "docs").agg(
@@ -168,15 +192,15 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple
 
 
 def reference(rows: list, n_docs: int) -> tuple:
-    """(class histogram, {word: bin}, word histogram) of a language's (kind, rank, name, n)."""
+    """(class histogram, {word hash: bin}, word histogram, documents) of a language's (kind, rank, name, n)."""
     classes, bins, heights = np.zeros(len(CLASSES)), {}, []
     for r in rows:
         if r["kind"] == "c":
-            classes[CLASSES.index(bytes(r["name"]).decode())] = r["n"]
+            classes[r["name"]] = r["n"]
         else:
-            bins[bytes(r["name"])] = len(heights)
+            bins[r["name"]] = len(heights)
             heights.append(r["n"])
-    return classes, bins, np.array([*heights, max(0, n_docs * WEIGHT - sum(heights))], float)
+    return classes, bins, np.array([*heights, max(0, n_docs * WEIGHT - sum(heights))], float), n_docs
 
 
 def judge_text(text: str | None, lang: str | None, refs: dict) -> tuple:
@@ -187,16 +211,17 @@ def judge_text(text: str | None, lang: str | None, refs: dict) -> tuple:
     seen = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     n, repeat = len(words), repeated_words(words)
     failed = n < 20 or 100 * repeat > 30 * n
-    classes, bins, common = refs.get(lang or "", (np.zeros(len(CLASSES)), {}, np.zeros(1)))
+    classes, bins, common, n_docs = refs.get(lang or "", (np.zeros(len(CLASSES)), {}, np.zeros(1), 1))
     chars = common_words = 0.0
     if n >= MIN_WORDS_CHARS:
-        chars = distance(class_histogram(seen), classes)
+        chars = distance(class_histogram(data, seen), classes)
     if n >= MIN_WORDS_COMMON:
         heights = np.zeros(len(common))
         for w, count in Counter(data.lower().split()).items():
-            heights[bins.get(w, -1)] += count
+            heights[bins.get(word_hash(w), -1)] += count
         common_words = distance(heights, common)
-    kept = not failed and chars <= MAX_CHARS_DISTANCE and common_words <= MAX_COMMON_DISTANCE
+    wider = ERROR / n_docs ** 0.5
+    kept = not failed and chars <= MAX_CHARS_DISTANCE + wider and common_words <= MAX_COMMON_DISTANCE + wider
     return (n, int(seen[_IN_WORD].sum()), int(seen[list(_SYMBOLS)].sum()), repeated_lines(data), repeat,
             failed, kept, chars, common_words)
 
@@ -210,8 +235,8 @@ FIELDS = T.StructType([T.StructField(n, T.LongType()) for n in (
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with the columns of ``FIELDS``.
 
-    Null text has no words and fails; a null language is a language of its own;
-    repeated rows are judged alike, ties between common words go to the smaller word;
+    Null text has no words and fails; a null language is that without a name (empty);
+    texts of any length are judged whole; repeated rows are judged alike, ties between common words go to the smaller hash;
     an empty table gives no rows; names that clash get an underscore.
     """
     refs, rest = references(docs, text, lang)
