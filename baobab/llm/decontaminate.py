@@ -30,10 +30,10 @@ SHARE = 20  # contaminated: one word in SHARE or more is hit
 
 def item_windows(benchmark: DataFrame, size: int, item_id: str, text: str) -> DataFrame:
     """(window, items): every distinct window with the ids of the items that hold it.
-    Items with equal words are windowed once."""
+    Items with equal words are windowed once; those without an id are one, with a null id."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), alnum_words(F.col(text)).alias("words"))
-    texts = (items.where((F.size("words") > 0) & F.col("item").isNotNull())
-             .groupBy("words").agg(F.collect_set("item").alias("items")))
+    texts = (items.where(F.size("words") > 0)
+             .groupBy("words").agg(F.transform(F.collect_set(F.struct("item")), lambda s: s["item"]).alias("items")))
     width = F.least(F.lit(size), F.size("words"))
     return (texts.select("words", "items", F.explode(positions(F.size("words"), width)).alias("at"))
             .groupBy(F.slice("words", F.col("at") + 1, width).alias("window"))
@@ -100,8 +100,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text: str = "t
     """``docs`` with columns n_words, n_hit, items (sorted ids as strings), hits (first
     word, number of words) and contaminated.
 
-    Null text has no words and is never contaminated. Items without words or without
-    an id give no window; an empty benchmark hits nothing; repeated documents are
+    Null text has no words and is never contaminated; a text of any length is searched
+    whole. Items without words give no window; those without an id are one item, a null
+    at the end of ``items``; an empty benchmark hits nothing; repeated documents are
     judged alike, a repeated item id is listed once; ties don't arise. Names that
     clash get an underscore.
     """

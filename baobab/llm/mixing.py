@@ -9,7 +9,7 @@ up to the remaining budget, the document on the border taken if that ends nearer
 the budget. u comes from a hash of the id, so reruns agree.
 
 No text is shuffled and no source is sorted as a whole: words are summed per
-(source, key bucket), the prefix sum over the ``BUCKETS`` buckets finds the one
+(source, key bucket), the prefix sum over a source's buckets finds the one
 bucket in which a source's budget ends, and only that bucket's (key, words) rows are
 sorted. Documents then compare their key with their source's border.
 """
@@ -25,7 +25,7 @@ from baobab.llm._text import count_space_words, fresh, materialized, whole
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_EPOCHS = 2
-BUCKETS = 4096
+OCTAVE = 1024
 SEED = "mix"
 
 
@@ -90,8 +90,9 @@ def _key(doc_id: Column, text: Column, weight: Column) -> Column:
 
 
 def _bucket(key: Column) -> Column:
-    """Rises with the key; keys of weight 1 fill the buckets evenly."""
-    return F.least(F.lit(BUCKETS - 1), F.floor(F.lit(float(BUCKETS)) * (1.0 - F.exp(-key)))).cast("int")
+    """Rises with the key: OCTAVE buckets for every doubling. Weights scale a key, so
+    whatever they are, a bucket holds about 1 / (3.9 OCTAVE) of a source's keys at most."""
+    return F.floor(F.log2(key) * OCTAVE)
 
 
 def source_plan(slim: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from baobab.llm._text import SPACE_WORD
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+DOCS_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACE = re.compile(SPACE_WORD)
 NOTICE = ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
@@ -99,10 +100,10 @@ def test_decontamination(spark, docs, rows, bound):
     windows = {}
     for r in bench.collect():
         w = ALNUM.findall(ascii_lower(r.text))
-        if w and r.item_id is not None:
+        if w:
             n = min(13, len(w))
             for i in range(len(w) - n + 1):
-                windows.setdefault(tuple(w[i:i + n]), set()).add(str(r.item_id))
+                windows.setdefault(tuple(w[i:i + n]), set()).add(None if r.item_id is None else str(r.item_id))
     lengths = {len(w) for w in windows}
 
     def of(r):
@@ -112,7 +113,7 @@ def test_decontamination(spark, docs, rows, bound):
                 if tuple(w[i:i + n]) in windows and i + n <= len(w):
                     hit |= set(range(i, i + n))
                     items |= windows[tuple(w[i:i + n])]
-        return r.doc_id, len(w), len(hit), sorted(items), bool(hit) and 20 * len(hit) >= len(w)
+        return r.doc_id, len(w), len(hit), sorted(items, key=lambda x: (x is None, x)), bool(hit) and 20 * len(hit) >= len(w)
 
     got = decontaminate.scan(docs.select("doc_id", "text"), bench, max_broadcast=bound)
     want = [of(r) for r in rows]
@@ -149,6 +150,142 @@ def test_weak_parts_need_each_other(docs):
     assert far == {1: ""}
 
 
+SECRETS = {"identifier": "user: bob1", "access": "AKIA" + "B" * 16, "hex": "0a" * 14, "assign": "token=abcdef99", "secret": "pwd: hello", "endpoint": "host=db.example",
+           "named hex": 'signing_key "' + "1b" * 13 + '"'}
+ROLES = {"identifier": "identifier", "access": "identifier", "assign": "secret", "secret": "secret", "endpoint": "endpoint", "named hex": "secret"}
+
+
+def test_every_pair_and_triple_of_secret_parts(spark):
+    """Weak parts are reported exactly where complementary ones are in scope."""
+    import itertools
+    rnd, rows, want = random.Random(4), [], {}
+    cases = [c for n in (1, 2, 3) for c in itertools.permutations(SECRETS, n)]
+    for i, case in enumerate(cases):
+        text, places = "é ", []
+        for kind in case:
+            text += "." * rnd.choice([2, 120, 400]) + " "
+            places.append((kind, len(text), len(text) + len(SECRETS[kind])))
+            text += SECRETS[kind] + " "
+        rows.append((i, text))
+        spans = set()
+        for kind, start, end in places:
+            near = {ROLES[k] for k, a, b in places if k in ROLES and (a, b) != (start, end) and (0 <= start - b <= 300 or 0 <= a - end <= 300)}
+            if {"identifier": "secret" in near, "secret": bool(near & {"identifier", "endpoint"}), "endpoint": {"identifier", "secret"} <= near}.get(kind, True):
+                at = start + SECRETS[kind].index("1b") if kind == "named hex" else start
+                spans.add((kind.removeprefix("named "), at, end - (kind == "named hex")))
+        want[i] = spans
+    got = secret_scan.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        found = {(k, int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)}
+        assert found == want[r.doc_id], (cases[r.doc_id], rows[r.doc_id][1])
+
+
+def test_a_text_of_many_secrets(spark):
+    import time
+    text = "é token=abcdef " * 64_000
+    start = time.time()
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.size("base"), F.element_at("base", -1)["end"]).first()
+    assert tuple(got) == (64_000, len(text) - 1) and time.time() - start < 60
+
+
+def test_license_stretches(spark):
+    """A complete notice keeps its label, whatever phrases of it stand around it; a run of phrases alone has none."""
+    from baobab.llm.license_templates import templates
+    template, label, text = next((i, t[0], t[1]) for i, t in enumerate(templates()) if len(t[1].split()) > 60)
+    words, phrase = text.split(), " ".join(text.split()[20:23])
+    rnd = random.Random(8)
+    noise = " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(40))
+    half = " ".join(words[:len(words) // 2])
+    swapped = " ".join(w if i % 30 else "changed" for i, w in enumerate(words))
+    cases = [(text, 1), (f"{text} " + f"{phrase} " * 40, 1), (f"{phrase} " * 40 + text, 1), (f"{noise} {text} {noise} {text}", 2), (f"{phrase} " * 200, 0),
+             (half, 0), (f"{half} {noise} {noise} {noise}", 0), (swapped, 1), (f"{swapped} {phrase} {noise}", 1), ("", 0)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    for i, (t, n) in enumerate(cases):
+        spans = [s for s in got[i].spans if s.label == label]
+        assert len(spans) == n and (label in got[i].labels.split(",")) == bool(n), (i, spans)
+    assert all(s.coverage == 1.0 for s in got[1].spans + got[2].spans if s.label == label)
+
+
+@pytest.mark.parametrize("script", ["abcdefghijklmnop", "абвгдежзийклмноп", "กขฃคฅฆงจฉชซฌญฎฏฐ"])
+def test_salad_is_rejected_in_every_script(spark, script):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices(script, k=rnd.randint(5, 9))) for _ in range(40)]
+    for n in (200, 50, 49, 20):
+        rows = [(i, " ".join(rnd.choices(words, k=150)), "xx", "s", 1) for i in range(n)]
+        rows += [(1000 + i, " ".join("".join(rnd.choices(script, k=7)) for _ in range(150)), "xx", "s", 1) for i in range(3)]
+        got = {r.doc_id: r.kept for r in quality_rules.judge(spark.createDataFrame(rows, DOCS)).collect()}
+        assert [i for i, k in got.items() if not k] == [1000, 1001, 1002], n
+
+
+def test_distances_by_brute_force(docs, rows):
+    import unicodedata
+    from collections import Counter
+    import xxhash as x
+
+    def classes(t):
+        out = Counter()
+        for ch in t:
+            if ch < "\x80":
+                name = ("lower" if "a" <= ch <= "z" else "upper" if "A" <= ch <= "Z" else "digit" if "0" <= ch <= "9" else "space" if ch in " \t\n\x0b\x0c\r"
+                        else "mark" if ch in ".,;:!?'\"()-" else "symbol" if "!" <= ch <= "~" else "other")
+            else:
+                c = unicodedata.category(ch)
+                name = {"Ll": "other lower", "Lu": "other upper", "Lt": "other upper", "Lm": "other letter", "Lo": "other letter"}.get(
+                    c, {"M": "other mark", "N": "other digit"}.get(c[0], "other sign"))
+            out[name] += 1
+        return out
+
+    def lowered(t):
+        return SPACE.findall(ascii_lower(t))
+
+    def js(p, q):
+        keys, a, b, total = set(p) | set(q), sum(p.values()), sum(q.values()), 0.0
+        for k in keys:
+            u, v = p.get(k, 0) / a, q.get(k, 0) / b
+            for w in (u, v):
+                total += w * math.log2(w / ((u + v) / 2)) if w else 0
+        return max(0.0, total / 2) ** 0.5
+
+    chars, words, n = {}, {}, Counter()
+    for r in rows:
+        t, lang = r.text or "", r.lang or ""
+        if len(lowered(t)) >= 20:
+            n[lang] += 1
+            for table, counts in ((chars, classes(t)), (words, Counter(lowered(t)))):
+                for k, v in counts.items():
+                    table.setdefault(lang, Counter())[k] += round(v * 1_000_000 / sum(counts.values()))
+    common = {}
+    for lang, table in words.items():
+        top = dict(sorted(table.items(), key=lambda kv: (-kv[1], (x.xxh64_intdigest(kv[0].encode()) + 2 ** 63) % 2 ** 64))[:64])
+        common[lang] = top | {None: n[lang] * 1_000_000 - sum(top.values())}
+    for r, g in zip(sorted(rows, key=key), sorted(quality_rules.judge(docs.select(DOCS_COLUMNS)).collect(), key=key)):
+        t, lang = r.text or "", r.lang or ""
+        w = lowered(t)
+        c = js(classes(t), chars[lang]) if len(w) >= 20 else 0.0
+        d = js(Counter(v if v in common[lang] else None for v in w), common[lang]) if len(w) >= 100 else 0.0
+        assert g.chars_distance == pytest.approx(c, abs=1e-3) and g.words_distance == pytest.approx(d, abs=1e-3)
+        wide = 0.5 / max(1, n[lang]) ** 0.5
+        assert g.kept == (not g.base_failed and g.chars_distance <= 0.35 + wide and g.words_distance <= 0.40 + wide)
+
+
+def test_classifier_with_a_repeated_labelled_id(spark):
+    """An id on a third of the rows is one text of the sample, and one of the held-out ones."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    one = labels.orderBy("doc_id").first().doc_id
+    copies = docs.where(F.col("doc_id") == one).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("col")
+    target = quality_classifier._labels(labels, "quality")
+    a, b = (quality_classifier.fit_evidence(d, target) for d in (docs, docs.unionByName(copies)))
+    assert a == b and a["weights"]
+
+
+def test_key_buckets_are_even_for_any_weight(spark):
+    for text in ("# # ab", "plain words here", "#"):
+        rows = spark.range(100_000).select("id", F.lit("s").alias("source"), F.lit(text).alias("text"))
+        keys = mixing.keyed(rows, doc_id="id").groupBy(mixing._bucket(F.col("key"))).count()
+        assert keys.agg(F.max("count")).first()[0] < 100_000 / 500
+
+
 def test_simhash_components(docs, rows):
     def fp(t):
         w = SPACE.findall(ascii_lower(t))
