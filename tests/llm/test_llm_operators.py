@@ -485,6 +485,22 @@ def test_every_near_copy_of_a_group_is_found(spark, monkeypatch, copies):
     assert got <= want and len(want - got) <= 0.01 * len(want)  # two of four hash functions must agree
 
 
+def test_passages_are_whole():
+    """Differences of any number and gaps that the similarity allows stay inside one passage."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    a = [word() for _ in range(100)]
+    inserted = a[:40] + [word() for _ in range(8)] + a[40:]
+    assert [x[:4] for x in substring_dedup.verified(a, inserted)] == [(0, 100, 0, 108)]
+    long = [word() for _ in range(2000)]
+    changed = [word() if i % 45 == 44 else w for i, w in enumerate(long)]
+    around = [word() for _ in range(300)] + changed + [word() for _ in range(300)]
+    assert [x[:4] for x in substring_dedup.verified(long, around)] == [(0, 1999 if 1999 % 45 == 44 else 2000, 300, 2300)]
+    two = a + [word() for _ in range(90)] + long[:120]
+    assert [x[:4] for x in substring_dedup.verified(a + [word() for _ in range(90)] + long[:120], two)] == [(0, 100, 0, 100), (190, 310, 190, 310)]
+    assert substring_dedup.verified(a, [w if i % 4 else word() for i, w in enumerate(a)]) == []
+
+
 def test_compact_windows():
     import numpy as np
     rng = np.random.default_rng(1)
