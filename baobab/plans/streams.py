@@ -8,6 +8,7 @@ equivalent over the same input tables.
 from __future__ import annotations
 
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,7 +19,7 @@ from baobab.plans.base import query, wh
 from baobab.plans.funnel import _WORDS, steps_sql
 from baobab.plans.oracle_model import with_views as V
 from baobab.session import scratch_path
-from baobab.sources import files
+from baobab.sources import compare, files, quarantine
 from baobab.streaming import events as S
 from baobab.streaming import late as L
 from baobab.streaming import lateness as D
@@ -126,6 +127,53 @@ def text_word_count_q(spark, sf_dir):
     return word_counts(files.read_text(spark, path))
 
 
+def _rejects(found: quarantine.Quarantine) -> DataFrame:
+    """(raison, n) of a quarantine, good rows as ``ok``."""
+    ok = found.good.agg(F.lit("ok").alias("raison"), F.count(F.lit(1)).alias("n"))
+    return ok.unionByName(found.rejected.groupBy(F.col("reason").alias("raison")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("csv_quarantine", V("""
+SELECT CASE WHEN payment_id % 40 = 3 THEN 'fields' WHEN payment_id % 40 = 9 THEN 'type of montant_fcfa' ELSE 'ok' END AS raison, COUNT(*) AS n
+FROM payments_raw GROUP BY 1""", "payments_raw"))
+def csv_quarantine_q(spark, sf_dir):
+    """S3: a CSV feed with a field too many in some rows and a text for an amount in
+    others: good rows, and rejected ones by reason."""
+    p = M.payments_raw(wh(spark, sf_dir)).select("payment_id", "order_id", "montant_fcfa", "methode")
+    k = F.col("payment_id") % 40
+    sent = p.withColumns({"montant_fcfa": F.when(k == 9, "abc").otherwise(F.col("montant_fcfa").cast("string")),
+                          "methode": F.when(k == 3, F.concat("methode", F.lit(",x"))).otherwise(F.col("methode"))})
+    path = _scratch(spark, "payments_csv")
+    sent.write.option("header", True).option("quote", "\u0000").csv(path)
+    return _rejects(quarantine.read_csv(spark, path, p.schema))
+
+
+@query("jsonl_quarantine", V("""
+SELECT CASE WHEN payment_id % 40 = 3 THEN 'json' WHEN payment_id % 40 = 9 THEN 'type of montant_fcfa' ELSE 'ok' END AS raison, COUNT(*) AS n
+FROM payments_raw GROUP BY 1""", "payments_raw"))
+def jsonl_quarantine_q(spark, sf_dir):
+    """A JSON Lines feed with broken lines and texts for amounts."""
+    p = M.payments_raw(wh(spark, sf_dir)).select("payment_id", "order_id", "montant_fcfa", "methode")
+    k, line = F.col("payment_id") % 40, F.to_json(F.struct("*"))
+    sent = p.select(F.when(k == 3, F.left(line, F.lit(25))).when(k == 9, F.regexp_replace(line, r'"montant_fcfa":-?\d+', '"montant_fcfa":"abc"'))
+                    .otherwise(line).alias("value"))
+    path = _scratch(spark, "payments_json")
+    sent.write.text(path)
+    return _rejects(quarantine.read_jsonl(spark, path, p.schema))
+
+
+@query("export_comparison", V("""
+SELECT payment_id, CASE WHEN payment_id % 500 = 1 THEN 0 ELSE n END AS nb_export, n AS nb_source
+FROM (SELECT payment_id, COUNT(*) AS n FROM payments_raw GROUP BY payment_id) WHERE payment_id % 500 = 1""", "payments_raw"))
+def export_comparison_q(spark, sf_dir):
+    """An export read back that lost some payments, told by checksums per bucket."""
+    p = M.payments_raw(wh(spark, sf_dir)).withColumn("paid_at", F.date_format("paid_at", "yyyy-MM-dd HH:mm:ss"))
+    path = _scratch(spark, "payments_export")
+    p.where(F.col("payment_id") % 500 != 1).write.parquet(path)
+    found = compare.differences(spark.read.parquet(path), p)
+    return found.select("payment_id", F.col("in_a").alias("nb_export"), F.col("in_b").alias("nb_source"))
+
+
 _HOURLY = "(SELECT *, strftime(date_trunc('hour', event_time), '%Y-%m-%d %H:%M:%S') AS debut FROM events_nav)"
 
 
