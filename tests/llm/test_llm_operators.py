@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -553,3 +554,23 @@ EMPTY = {
 @pytest.mark.parametrize("name", EMPTY)
 def test_empty_tables(spark, name):
     assert EMPTY[name](spark.createDataFrame([], DOCS), spark).count() == 0
+
+
+def test_places_left_out_before_verification_hold_no_passage():
+    rng = random.Random(11)
+    found = 0
+    for trial in range(300):
+        pool = [f"w{k}" for k in range(rng.choice([3, 40, 4000]))]
+        a = [rng.choice(pool) for _ in range(rng.randint(50, 160))]
+        b = [x if rng.random() > rng.choice([0.0, 0.01, 0.03, 0.1]) else rng.choice(pool) for x in a][rng.randint(0, 20):]
+        sa, sb = substring_dedup._shingles(a, 5), substring_dedup._shingles(b, 5)
+        passages = substring_dedup.verified(a, b)
+        for x, y, spans in ((sa, sb, [p[:2] for p in passages]), (sb, sa, [p[2:4] for p in passages])):
+            for start, end in spans:
+                found += 1
+                # Any place inside the passage: both sides' surplus isn't below zero.
+                first, last = np.array([start + 1]), np.array([end - 6])
+                own = substring_dedup._surplus(np.isin(x, y)[None], 46, 1.6 / 1.8, first, last)
+                other = substring_dedup._surplus(np.isin(y, x)[None], 46, 1.6 / 1.8, np.array([len(y)]), np.array([-1]))
+                assert own[0] + other[0] >= -1e-6
+    assert found > 100
