@@ -574,3 +574,80 @@ def test_places_left_out_before_verification_hold_no_passage():
                 other = substring_dedup._surplus(np.isin(y, x)[None], 46, 1.6 / 1.8, np.array([len(y)]), np.array([-1]))
                 assert own[0] + other[0] >= -1e-6
     assert found > 100
+
+
+def _plain_passages(sa, sb, min_words, similarity, shingle):
+    """One pair, place by place."""
+    matched, last = [], None
+    for j, s in enumerate(sb):
+        at = [i for i, x in enumerate(sa) if x == s]
+        if at:
+            i = min(at, key=lambda x: (abs(x - (j if last is None else last + j)), x))
+            last = i - j
+            matched.append((j, i))
+    gap = (1 - similarity) / similarity * min(len(sa), len(sb)) + shingle
+    runs, out = [], []
+    for j, i in matched:
+        dj, di = (j - runs[-1][-1][-1][0], i - runs[-1][-1][-1][1]) if runs else (0, 0)
+        if runs and (dj, di) == (1, 1):
+            runs[-1][-1].append((j, i))
+        elif runs and 0 < dj <= gap and 0 < di <= gap:
+            runs[-1].append([(j, i)])
+        else:
+            runs.append([[(j, i)]])
+    for pieces in runs:
+        if sum(map(len, pieces)) < similarity * (min_words - shingle + 1) - 1e-9:
+            continue
+        at = 0
+        while at < len(pieces):
+            for last in reversed(range(at, len(pieces))):
+                (b0, a0), (b1, a1) = pieces[at][0], (x + 1 for x in pieces[last][-1])
+                shares = sum(map(len, pieces[at:last + 1]))
+                if shares < similarity * (b1 - b0 + a1 - a0 - shares) - 1e-9 or min(b1 - b0, a1 - a0) + shingle - 1 < min_words:
+                    continue
+                x, y = set(sa[a0:a1]), set(sb[b0:b1])
+                if len(x & y) / len(x | y) >= similarity:
+                    out.append((a0, a1 + shingle - 1, b0, b1 + shingle - 1, len(x & y) / len(x | y)))
+                    at = last
+                    break
+            at += 1
+    return out
+
+
+def test_pairs_verified_together_have_the_passages_of_each(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK", 40)  # several blocks of pieces in a run
+    rng, pairs = random.Random(23), []
+    for trial in range(200):
+        pool = [f"w{k}" for k in range(rng.choice([3, 40, 400, 4000]))]
+        a, rate = [rng.choice(pool) for _ in range(rng.randint(0, 200))], rng.choice([0, 0.01, 0.03, 0.1])
+        b = [x if rng.random() > rate else rng.choice(pool) for x in a][rng.randint(0, 20):]
+        pairs.append((a + a[:70] if trial % 3 else a, b + b[:70] if trial % 5 == 0 else b))
+    hashed = [tuple(substring_dedup._shingles(x, 5) for x in pair) for pair in pairs]
+    got = [x for k in range(0, 200, 8) for x in substring_dedup._passages(hashed[k:k + 8], 50, 0.8, 5)]
+    assert got == [_plain_passages(x.tolist(), y.tolist(), 50, 0.8, 5) for x, y in hashed]
+    assert sum(map(len, got)) > 50
+
+
+def test_repeated_lines_are_not_looked_up_place_by_place(monkeypatch):
+    looked, real = [], substring_dedup._nearest
+    monkeypatch.setattr(substring_dedup, "_nearest", lambda *a: looked.append(1) or real(*a))
+    line = [f"w{k}" for k in range(12)]
+    text = [f"x{k}" for k in range(60)] + line * 200
+    assert [x[:4] for x in substring_dedup.verified(text, text)] == [(0, len(text), 0, len(text))]
+    assert len(looked) < 10
+
+
+def test_windows_meet_after_one_shuffle(spark):
+    rnd = random.Random(7)
+    passage = [f"p{k}" for k in range(90)]
+    texts = [[f"u{rnd.randrange(10 ** 6)}" for _ in range(80)] + (passage if i % 3 == 0 else []) for i in range(12)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(0, " ".join(texts[0])), (50, "short")]
+    frame = spark.createDataFrame(rows, "tid long, text string")
+    met = substring_dedup.meetings(substring_dedup.windows(frame))
+    assert met._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1
+    got = met.collect()
+    assert {(r.tid, r.c) for r in got if r.kind == 2} == {(i, len(t)) for i, t in enumerate(texts)}
+    found = [(r.x, r.tid, r.c) for r in got if r.kind == 0]
+    assert len(set(found)) == len(found) and {x[1] for x in found} == {0, 3, 6, 9}
+    assert all(len({t for s, t, _ in found if s == sig}) > 1 for sig, _, _ in found)
+    assert {frozenset((r.x, r.tid)) for r in got if r.kind == 1} >= {frozenset((0, k)) for k in (3, 6, 9)}
