@@ -651,3 +651,45 @@ def test_windows_meet_after_one_shuffle(spark):
     assert len(set(found)) == len(found) and {x[1] for x in found} == {0, 3, 6, 9}
     assert all(len({t for s, t, _ in found if s == sig}) > 1 for sig, _, _ in found)
     assert {frozenset((r.x, r.tid)) for r in got if r.kind == 1} >= {frozenset((0, k)) for k in (3, 6, 9)}
+
+
+def test_texts_are_sent_once_to_be_compared(spark, monkeypatch):
+    """Open places of the same texts under many keys: their words are sent together, not key by key."""
+    rnd, sent, real = random.Random(29), [], substring_dedup._compare
+    monkeypatch.setattr(substring_dedup, "_compare", lambda rows, *a: sent.append(rows) or real(rows, *a))
+    base = [f"b{k}" for k in range(500)]
+    texts = [[w if rnd.random() > 0.04 else f"x{rnd.randrange(10 ** 6)}" for w in base] for _ in range(20)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(20))
+    words = sum(len(r.w.split(" ")) for r in sent[0].select("w").collect())
+    assert 0 < words <= 4 * 20 * 500  # every key's cut by itself: several times that
+
+
+def test_comparison_leaves_out_no_words():
+    """Every two stretches of a group verified, or only those that can add words: the same words are covered."""
+    rng, covered = random.Random(31), 0
+    for trial in range(60):
+        pool = [f"w{k}" for k in range(60 if trial % 4 == 0 else 10 ** 6)]
+        base = [rng.choice(pool) for _ in range(rng.randint(60, 260))]
+        rate = rng.choice([0.0, 0.02, 0.04, 0.08])
+        texts = [[w if rng.random() > rate else rng.choice(pool) for w in base][rng.randint(0, 30):] for _ in range(rng.randint(2, 7))]
+        if trial % 3 == 0:
+            texts = [t[len(t) // 2:] + t[:len(t) // 2] if rng.random() < 0.5 else t for t in texts]
+        hashes = [substring_dedup._shingles(t, 5) for t in texts]
+        rows = [{"tid": k, "chunk": 0, "alo": 0, "keys": [1], "lo": [20], "hi": [25], "open": [True], "start": [], "end": []} for k in range(len(texts))]
+        got, want = ([set() for _ in texts] for _ in range(2))
+        for tid, start, end, other, score in substring_dedup._compared(rows, hashes, 50, 0.8, 5):
+            assert end - start >= 50 and score >= 0.8 and other != tid
+            got[tid].update(range(start, end))
+        for i in range(len(texts)):
+            for j in range(i):
+                for a0, a1, b0, b1, _ in substring_dedup._passages([(hashes[j], hashes[i])], 50, 0.8, 5, True)[0]:
+                    want[j].update(range(a0, a1))
+                    want[i].update(range(b0, b1))
+        assert all(x >= y for x, y in zip(got, want)) and (trial % 4 == 0 or got == want)
+        covered += sum(map(len, want))
+        for (a, b) in zip(hashes, hashes[1:]):  # passages that may overlap hold those that may not
+            every = substring_dedup._passages([(a, b)], 50, 0.8, 5, True)[0]
+            assert all(any(x[0] <= y[0] and y[1] <= x[1] for x in every) for y in substring_dedup._passages([(a, b)], 50, 0.8, 5)[0])
+    assert covered > 5000
